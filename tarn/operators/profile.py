@@ -156,4 +156,9 @@ def _with_blanks(
 
 
 def _pick(index: str, values: list) -> Column:
-    return F.get(F.array(*[F.lit(value) for value in values]), F.col(index))
+    """``values[index]``, known to Catalyst as never NULL.
+
+    Were it nullable, a join on the name would filter every (column, value) row
+    before the shuffle by looking its name up.
+    """
+    return F.coalesce(F.get(F.array(*[F.lit(v) for v in values]), F.col(index)), F.lit(values[0]))
