@@ -1,0 +1,285 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from golden import GOLD, GOLD_PROFILE, RECORDS, RUN, SILVER, SILVER_PROFILE, figures
+from tarn.operators import (
+    EmptyLayer,
+    catalogue,
+    conform,
+    count_by,
+    count_by_sql,
+    dictionary,
+    normalize,
+    profile,
+    ranked,
+    require_layer,
+    require_rows,
+    shape,
+    stamped,
+    structure,
+    top,
+    volume,
+)
+from tarn.plans import layout
+
+
+@pytest.fixture(scope="module")
+def silver(spark):
+    fields = ", ".join(f"{name} string" for name in layout.BRONZE_COLUMNS)
+    rows = [tuple(None if v is None else str(v) for v in r.values()) for r in RECORDS]
+    raw = spark.createDataFrame(rows, fields)
+    cells = normalize(raw, layout.BRONZE_COLUMNS, layout.COORDINATES)
+    blank_is_null = [
+        F.when(F.col(c).cast("string") != "", F.col(c)).alias(c) for c in cells.columns
+    ]
+    return conform(
+        cells.select(*blank_is_null), layout.BRONZE_COLUMNS, layout.COORDINATES, RUN
+    )
+
+
+@pytest.fixture(scope="module")
+def gold(silver):
+    return stamped(count_by(silver, layout.GOLD_KEYS, layout.GOLD_COUNT), RUN)
+
+
+def test_silver_rows(silver):
+    assert silver.schema.simpleString() == layout.SILVER_SCHEMA.simpleString()
+    stamps = (RUN.ref, RUN.ref_partition, RUN.ts_proc, RUN.ts_proc)
+    assert sorted(map(tuple, silver.collect())) == [stamps + row for row in SILVER]
+
+
+def test_conform_drops_extras_and_names_what_is_missing(spark):
+    df = spark.createDataFrame([(" a ", 1)], "id string, extra int")
+    assert conform(df, ["id"], [], RUN).columns[-1] == "id"
+    with pytest.raises(AnalysisException, match="gone"):
+        conform(df, ["id", "gone"], [], RUN)
+
+
+def test_gold_rows(silver, gold):
+    assert gold.schema.simpleString() == layout.GOLD_SCHEMA.simpleString()
+    order = ranked(gold, layout.GOLD_COUNT, layout.GOLD_KEYS)
+    assert [tuple(r) for r in order.collect()] == GOLD
+    by_sql = count_by_sql(silver, layout.GOLD_KEYS, layout.GOLD_COUNT, RUN)
+    assert by_sql.schema.simpleString() == gold.schema.simpleString()
+    assert [tuple(r) for r in by_sql.collect()] == GOLD
+
+
+def test_null_keys_form_groups_and_ties_are_ordered(spark):
+    df = spark.createDataFrame([(None,), ("b",), (None,), ("a",)], "k string")
+    counts = ranked(count_by(df, ["k"], "n"), "n", ["k"])
+    assert counts.collect() == [(None, 2), ("a", 1), ("b", 1)]
+
+
+def test_top_takes_the_first_without_a_full_sort(spark):
+    df = spark.range(1000).selectExpr("cast(id % 37 AS string) AS k")
+    counts = count_by(df, ["k"], "n")
+    first = top(counts, "n", ["k"])
+    assert first.collect() == ranked(counts, "n", ["k"]).collect()[:10]
+    assert "TakeOrderedAndProject" in first._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sql_form_registers_no_view(spark, silver):
+    before = {t.name for t in spark.catalog.listTables()}
+    count_by_sql(silver, layout.GOLD_KEYS, layout.GOLD_COUNT, RUN).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_golden_profiles(silver, gold):
+    assert figures(profile(silver)) == SILVER_PROFILE
+    assert figures(profile(gold)) == GOLD_PROFILE
+    assert figures(profile(silver, approx=True)) == SILVER_PROFILE
+
+
+def test_profile_types_and_order(silver):
+    out = profile(silver)
+    assert out.dtypes == [
+        ("coluna", "string"),
+        ("tipo", "string"),
+        ("qt_nulos", "bigint"),
+        ("percent_nulos", "double"),
+        ("cardinalidade", "bigint"),
+    ]
+    assert profile(silver, approx=True).dtypes == out.dtypes
+    rows = out.collect()
+    percents = [r.percent_nulos for r in rows]
+    assert percents == sorted(percents, reverse=True)
+    assert {r.coluna: r.tipo for r in rows} == dict(silver.dtypes)
+
+
+def test_profile_counts_null_as_a_value(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",), (None,)], "k string")
+    assert figures(profile(df)) == {"k": (3, 50.0, 3)}
+
+
+def test_profile_of_doubles(spark):
+    values = [1.0, 0.0, -0.0, float("nan"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert figures(profile(df)) == {"x": (1, 16.67, 4)}
+
+
+@pytest.mark.parametrize("approx", [False, True])
+def test_profile_of_an_empty_frame(spark, approx):
+    df = spark.createDataFrame([], "a string, b double, c array<int>")
+    assert figures(profile(df, approx=approx)) == dict.fromkeys("abc", (0, 0.0, 0))
+
+
+def test_profile_of_every_type(spark):
+    df = spark.sql(
+        """
+        SELECT * FROM VALUES
+          (true, 1Y, 1S, 1, 1L, 1.5F, 1.5D, 1.10BD, 'a', X'01', date'2026-01-01',
+           timestamp'2026-01-01 00:00:00', timestamp_ntz'2026-01-01 00:00:00',
+           array(1, NULL), named_struct('x', 0.0D, 'y', 'b')),
+          (false, 1Y, 2S, 3, NULL, 1.5F, 2.5D, 1.1BD, 'a ', X'01', date'2026-01-01',
+           timestamp'2026-01-01 00:00:01', timestamp_ntz'2026-01-01 00:00:00',
+           array(1), named_struct('x', -0.0D, 'y', 'b'))
+        AS t(b, i8, i16, i32, i64, f, d, dec, s, bin, day, ts, ntz, arr, rec)
+        """
+    )
+    expected = dict(b=2, i8=1, i16=2, i32=2, i64=2, f=1, d=2, dec=1, s=2, bin=1, day=1, ts=2,
+                    ntz=1, arr=2, rec=1)
+    assert {c: card for c, (_, _, card) in figures(profile(df)).items()} == expected
+    loop = {c: df.select(c).distinct().count() for c in df.columns}
+    assert loop == expected
+
+
+def test_profile_tells_long_texts_apart(spark):
+    """Text from 64 bytes on is grouped by digest; shorter text by itself."""
+    long_text = "x" * 70
+    digest = spark.range(1).select(F.sha2(F.lit(long_text), 256)).first()[0]
+    texts = [long_text, long_text, long_text + "y", digest, "x" * 63, "x" * 64, "é" * 40]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert figures(profile(df)) == {"t": (0, 0.0, 6)}
+
+
+@pytest.mark.parametrize("approx", [False, True])
+def test_columns_without_equality_keep_a_row_without_figures(spark, approx):
+    df = spark.sql(
+        "SELECT map('a', 1) AS m, parse_json('{}') AS v, array(map(1, 2)) AS am, 1 AS i"
+    )
+    rows = {r.coluna: tuple(r)[1:] for r in profile(df, approx=approx).collect()}
+    assert rows == {
+        "m": ("map<string,int>", None, None, None),
+        "v": ("variant", None, None, None),
+        "am": ("array<map<int,int>>", None, None, None),
+        "i": ("int", 0, 0.0, 1),
+    }
+
+
+def test_profile_takes_any_column_name(spark):
+    df = spark.createDataFrame([(1, "x", None)], "`a.b` int, `two words` string, `t``k` double")
+    assert figures(profile(df)) == {
+        "a.b": (0, 0.0, 1), "two words": (0, 0.0, 1), "t`k": (1, 100.0, 1),
+    }
+
+
+def test_profile_of_more_columns_than_one_stack(spark):
+    df = spark.range(50).select(*[(F.col("id") % (n + 1)).alias(f"c{n}") for n in range(120)])
+    assert {c: f[2] for c, f in figures(profile(df)).items()} == {
+        f"c{n}": min(n + 1, 50) for n in range(120)
+    }
+
+
+def test_profile_gives_key_blanks_back(spark):
+    before = spark.createDataFrame([("",), ("",), (None,), ("a",)], "k string")
+    after = before.selectExpr("nullif(k, '') AS k")
+    assert figures(profile(before)) == {"k": (1, 25.0, 3)}
+    assert figures(profile(after)) == {"k": (3, 75.0, 2)}
+    for approx in (False, True):
+        assert figures(profile(after, approx, {"k": 2})) == figures(profile(before))
+    only_blank = spark.createDataFrame([(None,), ("a",)], "k string")
+    assert figures(profile(only_blank, blank_keys={"k": 1})) == {"k": (0, 0.0, 2)}
+
+
+def test_profile_reads_each_column_once_and_stays_in_the_jvm(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    plan = profile(lines)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    read = [c for line in scans for c in lines.columns if f"{c}:" in line.split("ReadSchema")[1]]
+    assert sorted(read) == sorted(lines.columns)
+    assert "Python" not in plan and "Expand" not in plan
+
+
+def test_catalogue_joins_on_lower_case_names(spark):
+    df = spark.createDataFrame([(1, "x")], "Id int, extra string")
+    out = catalogue(
+        structure(df, "t", "z"), dictionary(spark, [("ID", "the key"), ("gone", "-")]), profile(df)
+    )
+    assert sorted(map(tuple, out.collect())) == [
+        ("z", "t", "extra", "string", None, 0, 0.0, 1),
+        ("z", "t", "id", "int", "the key", 0, 0.0, 1),
+    ]
+
+
+def test_catalogue_keeps_columns_without_a_profile(spark):
+    df = spark.sql("SELECT map('a', 1) AS m, 1 AS i")
+    out = catalogue(
+        structure(df, "t", "z"), dictionary(spark, [("m", "map")]), profile(df.select("i"))
+    )
+    rows = {r.coluna: tuple(r)[4:] for r in out.collect()}
+    assert rows == {"m": ("map", None, None, None), "i": (None, 0, 0.0, 1)}
+
+
+def test_catalogue_does_not_filter_rows_below_the_shuffle(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    out = catalogue(
+        structure(lines, "t", "z"), dictionary(spark, [("l_tax", "-")]), profile(lines)
+    )
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Filter isnotnull" not in plan
+
+
+def test_structure_and_dictionary_are_never_null(spark):
+    df = spark.createDataFrame([], "a int, b array<string>")
+    out = structure(df, "t", "z")
+    assert out.collect() == [("a", "int", "t", "z"), ("b", "array<string>", "t", "z")]
+    assert not any(f.nullable for f in out.schema)
+    words = dictionary(spark, layout.SILVER_DICTIONARY)
+    assert not any(f.nullable for f in words.schema)
+    assert [r.coluna for r in words.collect()] == layout.SILVER_SCHEMA.fieldNames()
+    gold_words = dictionary(spark, layout.GOLD_DICTIONARY)
+    assert [r.coluna for r in gold_words.collect()] == layout.GOLD_SCHEMA.fieldNames()
+
+
+def test_names_that_differ_by_case_are_refused(spark):
+    with pytest.raises(ValueError, match="differ only by case: a"):
+        structure(spark.createDataFrame([], "A int, a int"), "t", "z")
+
+
+def test_volume(silver, gold):
+    out = volume(silver, "s", layout.SILVER_STAMPS)
+    assert out.columns == [
+        "name_file", "name_file_partition", "ref_partition", "ts_proc", "ts_proc_partition",
+        "qtd_registros",
+    ]
+    assert out.collect() == [("s", "s", 202601, 20260115060000, 20260115060000, 4)]
+    assert volume(gold, "g", layout.GOLD_STAMPS).collect() == [
+        ("g", "g", 202601, 20260115060000, 3)
+    ]
+
+
+def test_volume_of_several_stamps_is_ordered(spark):
+    df = spark.createDataFrame([(2,), (1,), (2,)], "ts_proc long")
+    assert [r.qtd_registros for r in volume(df, "t", ["ts_proc"]).collect()] == [1, 2]
+
+
+def test_gates(spark, tmp_path):
+    df = spark.range(3)
+    assert require_rows(df, "layer") is df
+    with pytest.raises(EmptyLayer, match="no rows in the layer"):
+        require_rows(df.filter("id > 5"), "the layer")
+    with pytest.raises(ValueError, match="no rows in gone"):
+        require_layer(lambda: spark.read.parquet(str(tmp_path / "gone")), "gone")
+    with pytest.raises(EmptyLayer):
+        require_layer(lambda: spark.read.parquet(str(tmp_path)), "an empty folder")
+    with pytest.raises(AnalysisException):
+        require_layer(lambda: df.select("nope"), "a wrong query")
+
+
+def test_shape(spark):
+    df = spark.range(7).selectExpr("id", "id AS b")
+    assert shape(df).collect() == [(7, 2)]
+    assert shape(df.limit(0)).collect() == [(0, 2)]
