@@ -44,8 +44,13 @@ def tidy_number(cell: Column) -> Column:
 
 
 def percent_of(part: Column, whole: Column) -> Column:
-    """``part`` in percent of ``whole``, two decimals, half-even; 0.0 of nothing."""
-    return F.when(whole > 0, F.bround(part / whole * 100, 2)).otherwise(F.lit(0.0))
+    """``part`` in percent of ``whole`` with two decimals; 0.0 of nothing.
+
+    Rounds the double's exact binary value, ties to even, as Python's ``round``
+    does. ``bround`` rounds its shortest decimal form and differs on many ties.
+    """
+    percent = F.format_number(part / whole * 100, 2).cast("double")
+    return F.when(whole > 0, percent).otherwise(F.lit(0.0))
 
 
 def render_stamp(

@@ -100,7 +100,7 @@ def _stacked(group: list[tuple[int, Column]]) -> Column:
 def _carrier(f: T.StructField) -> tuple[str, Column]:
     """The family of a column and its values, one to one, in the family's type."""
     value = field(f.name)
-    if isinstance(f.dataType, T.StringType):
+    if isinstance(f.dataType, T.StringType) and f.dataType.isUTF8BinaryCollation():
         long_text = F.octet_length(value) >= DIGEST_FROM
         return "text", F.when(long_text, F.sha2(value, 256)).otherwise(value)
     if isinstance(f.dataType, WHOLE_TYPES):

@@ -30,7 +30,7 @@ def stamped(df: DataFrame, run: RunStamp) -> DataFrame:
 
 def ranked(df: DataFrame, count: str, keys: Sequence[str]) -> DataFrame:
     """Largest count first; equal counts by the keys, NULL first."""
-    return df.orderBy(F.desc(count), *[field(key).asc_nulls_first() for key in keys])
+    return df.orderBy(field(count).desc(), *[field(key).asc_nulls_first() for key in keys])
 
 
 def top(df: DataFrame, count: str, keys: Sequence[str], n: int = 10) -> DataFrame:

@@ -117,8 +117,8 @@ def _gold(silver: str) -> str:
 def _profile(source: str, columns: list[tuple[str, str]]) -> str:
     rows = [
         f"""SELECT '{c}' AS coluna, '{kind}' AS tipo, COUNT(*) - COUNT({c}) AS qt_nulos,
-            CAST(round_even((COUNT(*) - COUNT({c})) * 100.0 / COUNT(*), 2) AS DOUBLE)
-                AS percent_nulos,
+            CAST(format('{{:.2f}}', CAST(COUNT(*) - COUNT({c}) AS DOUBLE) / COUNT(*) * 100)
+                AS DOUBLE) AS percent_nulos,
             COUNT(DISTINCT {c})
                 + CAST(MAX(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT)
                 AS cardinalidade

@@ -245,7 +245,7 @@ def metadata_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metadata_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = _gold(spark, sf_dir)
+    gold = gold_write_roundtrip(spark, sf_dir)
     return catalogue(
         structure(gold, layout.GOLD_TABLE, "gold"),
         dictionary(spark, layout.GOLD_DICTIONARY),

@@ -53,7 +53,7 @@ def write_partitioned(
     """
     blanks = Observation()
     laid_out = df.hint("rebalance", *[field(key) for key in keys]).observe(
-        blanks, *[F.count_if(field(key) == "").alias(key) for key in keys]
+        blanks, *[F.count_if(field(key).cast("string") == "").alias(key) for key in keys]
     )
     (
         laid_out.write.mode("overwrite")

@@ -76,12 +76,19 @@ def test_tidy_number_is_tolerant_under_ansi(spark):
     assert cells(spark, [" 1.5 ", "abc", "", None], tidy_number) == [1.5, None, None, None]
 
 
-@pytest.mark.parametrize(
-    "part, whole, expected",
-    [(1, 800, 0.12), (3, 800, 0.38), (1, 3, 33.33), (0, 5, 0.0), (5, 5, 100.0), (0, 0, 0.0)],
-)
-def test_percent_of_rounds_half_even(spark, part, whole, expected):
-    assert spark.range(1).select(percent_of(F.lit(part), F.lit(whole))).first()[0] == expected
+def test_percent_of_rounds_as_python_does(spark):
+    assert spark.range(1).select(percent_of(F.lit(0), F.lit(0))).first()[0] == 0.0
+    totals = [1, 3, 7, 40, 800, 8000]
+    df = spark.createDataFrame([(t,) for t in totals], "whole long").select(
+        "whole", F.explode(F.sequence(F.lit(0).cast("long"), "whole")).alias("part")
+    )
+    rows = df.select("part", "whole", percent_of(F.col("part"), F.col("whole"))).collect()
+    assert len(rows) == sum(totals) + len(totals)
+    assert [r[2] for r in rows] == [round(r.part / r.whole * 100, 2) for r in rows]
+    by_hand = {(1, 800): 0.12, (2675, 100000): 2.67, (1, 3): 33.33, (5, 5): 100.0}
+    for (part, whole), expected in by_hand.items():
+        got = spark.range(1).select(percent_of(F.lit(part), F.lit(whole))).first()[0]
+        assert got == expected
 
 
 @pytest.mark.parametrize("name", ["plain", "a.b", "two words", "tick`ed"])

@@ -155,6 +155,11 @@ def test_profile_tells_long_texts_apart(spark):
     assert figures(profile(df)) == {"t": (0, 0.0, 6)}
 
 
+def test_profile_keeps_a_collation(spark):
+    df = spark.sql("SELECT v COLLATE UTF8_LCASE AS a, v AS b FROM VALUES ('x'), ('X'), (NULL) t(v)")
+    assert figures(profile(df)) == {"a": (1, 33.33, 2), "b": (1, 33.33, 3)}
+
+
 @pytest.mark.parametrize("approx", [False, True])
 def test_columns_without_equality_keep_a_row_without_figures(spark, approx):
     df = spark.sql(
