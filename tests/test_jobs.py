@@ -147,3 +147,20 @@ def test_scale_settings_grow_with_the_input():
     large = scale_settings(100 * 10**12, cores=4000)
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert int(large["spark.sql.shuffle.partitions"]) > 300_000
+
+
+def test_command_line(spark, lake, capsys):
+    from tarn.__main__ import main
+
+    pages, paths = lake
+    at = ["--at", "2026-01-15T06:00:00-03:00", "--root", paths.root]
+    main(["all", "--pages", pages, *at])
+    printed = capsys.readouterr().out
+    assert "Porto Alegre" in printed and "20260115060000" in printed
+    main(["bronze", "--pages", pages, "--fields", "id", "city", *at])
+    main(["silver", *at])
+    main(["gold", "--approx", *at])
+    gold = read_table(spark, paths.gold, layout.GOLD_SCHEMA)
+    assert sum(r.brewery_count for r in gold.collect()) == 8
+    with pytest.raises(SystemExit):
+        main(["bronze", *at])
