@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from tarn.functions import field, percent_of
 
-# ``stack`` is compiled into the scan's stage up to this many rows.
-STACK_ROWS = 50
+# Columns per pass. A task holds the distinct values of one pass's columns at a
+# time, so this bounds its memory; Spark compiles ``stack`` up to 50 rows.
+PASS_COLUMNS = 8
 # Text of this many bytes or more is grouped by its 64-character digest.
 DIGEST_FROM = 64
 
@@ -29,8 +30,8 @@ def profile(
     Cardinality counts NULL as one value. Columns whose values cannot be
     compared (maps, variants) keep their row, with NULL figures.
 
-    The exact plan is for stored tables: it reads each column once, in one
-    narrow pass per family of types. ``approx`` estimates the cardinality in a
+    The exact plan is for stored tables: it reads each column once, in narrow
+    passes over a few columns of one type. ``approx`` estimates the cardinality in a
     single pass that shuffles one row per task.
 
     ``blank_keys`` is for a partitioned table profiled after it was written:
@@ -81,15 +82,15 @@ def _exact(df: DataFrame) -> DataFrame:
 
 
 def _groups(fields: list[T.StructField]) -> Iterable[list[tuple[int, Column]]]:
-    """Columns that can share one pass: one carrier type, few enough to stack."""
+    """Columns that share one pass: of one carrier type, and few."""
     families: dict[str, list[tuple[int, Column]]] = {}
     for i, f in enumerate(fields):
         if _comparable(f.dataType):
             family, value = _carrier(f)
             families.setdefault(family, []).append((i, value))
     for members in families.values():
-        for start in range(0, len(members), STACK_ROWS):
-            yield members[start : start + STACK_ROWS]
+        for start in range(0, len(members), PASS_COLUMNS):
+            yield members[start : start + PASS_COLUMNS]
 
 
 def _stacked(group: list[tuple[int, Column]]) -> Column:

@@ -143,12 +143,12 @@ def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _write_pages(records: DataFrame, path: str) -> None:
     """Page files of at most ``RECORDS_PER_PAGE`` records, one page per line.
 
-    Records are numbered by the key inside their ``id``, so a page's group is
-    bounded whatever the size of the table.
+    Records are numbered where they are read, so no page can outgrow its size.
     """
-    page = F.floor((F.trim("id").cast("bigint") - 1) / RECORDS_PER_PAGE)
+    page = F.expr(f"monotonically_increasing_id() div {RECORDS_PER_PAGE}")
     (
-        records.groupBy(page.alias("page"))
+        records.withColumn("page", page)
+        .groupBy("page")
         .agg(F.collect_list(F.struct(*records.columns)).alias("records"))
         .select(F.to_json("records", {"ignoreNullFields": "false"}).alias("value"))
         .write.text(path)

@@ -142,11 +142,17 @@ def test_gold_reads_four_columns_of_silver(spark, lake):
     assert "ReadSchema: struct<brewery_type:string,city:string,state_province:string>" in plan
 
 
-def test_scale_settings_grow_with_the_input():
-    small = scale_settings(10**9, cores=8)
-    large = scale_settings(100 * 10**12, cores=4000)
-    assert small["spark.sql.shuffle.partitions"] == "8"
-    assert int(large["spark.sql.shuffle.partitions"]) > 300_000
+def test_scale_settings_grow_with_the_input_up_to_a_task_limit():
+    def sizes(input_bytes, cores):
+        settings = scale_settings(input_bytes, cores)
+        return (
+            int(settings["spark.sql.shuffle.partitions"]),
+            int(settings["spark.sql.files.maxPartitionBytes"]),
+        )
+
+    assert sizes(10**9, cores=8) == (8, 256 * 2**20)
+    assert sizes(10**12, cores=8) == (3726, 256 * 2**20)
+    assert sizes(100 * 10**12, cores=4000) == (50_000, 2 * 10**9)
 
 
 def test_command_line(spark, lake, capsys):

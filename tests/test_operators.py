@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import math
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -155,6 +159,41 @@ def test_profile_tells_long_texts_apart(spark):
     assert figures(profile(df)) == {"t": (0, 0.0, 6)}
 
 
+DOUBLES = st.sampled_from([0.0, -0.0, 1.5, math.nan, math.inf, -math.inf, 1e-300, None])
+TEXTS = st.sampled_from(["", " ", "a", "A", "None", "x" * 63, "x" * 64, "x" * 65, "é" * 32, None])
+WHOLES = st.sampled_from([0, 1, -1, 2**31 - 1, -(2**31), None])
+
+
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(st.tuples(TEXTS, DOUBLES, WHOLES), max_size=60))
+def test_profile_against_brute_force(spark, rows):
+    def identity(value):
+        if isinstance(value, float):
+            return "nan" if math.isnan(value) else value + 0.0
+        return value
+
+    expected = {}
+    for name, column in zip("tdw", zip(*rows) if rows else [()] * 3, strict=True):
+        nulls = sum(v is None for v in column)
+        percent = round(nulls / len(column) * 100, 2) if column else 0.0
+        expected[name] = (nulls, percent, len({identity(v) for v in column}))
+    df = spark.createDataFrame(rows, "t string, d double, w int")
+    assert figures(profile(df)) == expected
+
+
+def test_a_hot_value_is_counted_before_the_shuffle(spark):
+    """A third of a million rows share a value; each task sends it once."""
+    df = spark.range(0, 1_000_000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('v', id) END AS v"
+    )
+    plan = profile(df)._jdf.queryExecution().executedPlan().toString()
+    shuffles = plan.split("Exchange hashpartitioning(i#")[1:]
+    assert shuffles and all("partial_" in rest.split("\n")[1] for rest in shuffles)
+    assert figures(profile(df)) == {"v": (0, 0.0, 666_667)}
+
+
 def test_profile_keeps_a_collation(spark):
     df = spark.sql("SELECT v COLLATE UTF8_LCASE AS a, v AS b FROM VALUES ('x'), ('X'), (NULL) t(v)")
     assert figures(profile(df)) == {"a": (1, 33.33, 2), "b": (1, 33.33, 3)}
