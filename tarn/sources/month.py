@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +29,10 @@ def land_month(
     """Append ``df`` to the month folder ``path``.
 
     The ``known`` columns come first, in that order and blank where absent, and
-    the others follow by name, so files of one month agree on their header.
-    Nested cells are written as JSON text. Spark names the files, uniquely.
+    the others follow by name. Rows with others go to a folder of their own
+    inside the month, one per set of names, so the files of a folder share one
+    header. Nested cells are written as JSON text. Spark names the files,
+    uniquely.
     """
     extras = sorted(name for name in df.columns if name not in known)
     cells = [
@@ -46,23 +50,44 @@ def land_month(
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", max_records_per_file)
-        .csv(path)
+        .csv(f"{path}/{_header_folder(extras)}" if extras else path)
     )
 
 
 def read_month(spark: SparkSession, path: str) -> DataFrame:
     """Every file of the month as one table of text columns; blanks are NULL.
 
-    Spark reads CSV by position. The header is therefore read first and then
-    required of every file: one whose columns differ fails the read instead of
-    filling the wrong columns.
+    Files are matched by column name. Spark reads CSV by position, so the
+    header of a folder is read first and then required of all its files: one
+    whose columns differ fails the read instead of filling the wrong columns.
     """
-    header = spark.read.options(**DIALECT).option("multiLine", True).csv(path).columns
+    folders = [_read_folder(spark, folder) for folder in _folders(spark, path) or [path]]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), folders)
+
+
+def _header_folder(extras: Sequence[str]) -> str:
+    return "fields-" + hashlib.sha256("\n".join(extras).encode()).hexdigest()[:16]
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """The month's folders that hold files. Lists names only and opens no file."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .load(path)
+    )
+    folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
+    return sorted(row.folder for row in files.select(folder).distinct().collect())
+
+
+def _read_folder(spark: SparkSession, folder: str) -> DataFrame:
+    header = spark.read.options(**DIALECT).option("multiLine", True).csv(folder).columns
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     return (
         spark.read.options(**DIALECT)
         .option("multiLine", True)
         .option("enforceSchema", False)
         .schema(schema)
-        .csv(path)
+        .csv(folder)
     )

@@ -80,6 +80,19 @@ def test_known_columns_first_and_extras_by_name(spark, tmp_path):
     assert month.select("id", "name", "aa", "list", "zz").first() == ("1", None, "a", "[1,2]", "z")
 
 
+def test_files_with_other_fields_meet_by_name(spark, tmp_path):
+    month = str(tmp_path / "m")
+    for ddl in ("id string, b string", "a string, id string, b string", "id string"):
+        names = [part.split()[0] for part in ddl.split(", ")]
+        land_month(spark.createDataFrame([tuple(names)] * 2, ddl), month, ["id"])
+    rows = read_month(spark, month)
+    assert sorted(rows.columns) == ["a", "b", "id"]
+    got = sorted(((r.id, r.a, r.b) for r in rows.collect()), key=str)
+    assert got == sorted(
+        [("id", None, "b")] * 2 + [("id", "a", "b")] * 2 + [("id", None, None)] * 2, key=str
+    )
+
+
 def test_runs_append_and_never_overwrite(spark, tmp_path):
     month = str(tmp_path / "m")
     rows = spark.range(1, 2, 1, 1).selectExpr("cast(id as string) AS id")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import glob
 
 import pytest
+from py4j.protocol import Py4JJavaError
 
 from golden import GOLD, GOLD_PROFILE, RECORDS, RUN, SILVER, SILVER_PROFILE, figures, write_page
 from tarn.functions import RunStamp
@@ -170,3 +171,26 @@ def test_command_line(spark, lake, capsys):
     assert sum(r.brewery_count for r in gold.collect()) == 8
     with pytest.raises(SystemExit):
         main(["bronze", *at])
+
+
+def test_runs_of_a_month_may_differ_in_unknown_fields(spark, tmp_path):
+    """Silver asks only for the known columns, which every file has in one place."""
+    paths = LakePaths(str(tmp_path / "lake"))
+    for name, extras in (("1", {"zeta": "z"}), ("2", {}), ("3", {"alpha": "a", "zeta": "z"})):
+        write_page(tmp_path / name, "1.json", [{"id": name, "street": f"s{name}", **extras}])
+        run_bronze(spark, str(tmp_path / name), paths, RUN)
+    silver = run_silver(spark, paths, RUN).table
+    assert sorted((r.id, r.street) for r in silver.collect()) == [
+        ("1", "s1"), ("2", "s2"), ("3", "s3"),
+    ]
+
+
+def test_silver_refuses_known_columns_in_another_place(spark, tmp_path):
+    paths = LakePaths(str(tmp_path / "lake"))
+    write_page(tmp_path / "pages", "1.json", RECORDS)
+    run_bronze(spark, str(tmp_path / "pages"), paths, RUN)
+    names = list(reversed(layout.BRONZE_COLUMNS))
+    with open(f"{paths.raw_month(RUN)}/foreign.csv", "w", encoding="utf-8") as file:
+        file.write(",".join(names) + "\n" + ",".join("x" for _ in names) + "\n")
+    with pytest.raises(Py4JJavaError, match="CSV header does not conform to the schema"):
+        run_silver(spark, paths, RUN)
