@@ -31,8 +31,8 @@ def profile(
     compared (maps, variants) keep their row, with NULL figures.
 
     The exact plan is for stored tables: it reads each column once, in narrow
-    passes over a few columns of one type. ``approx`` estimates the cardinality in a
-    single pass that shuffles one row per task.
+    passes over a few columns of one type. ``approx`` estimates the cardinality;
+    its passes shuffle one row per task.
 
     ``blank_keys`` is for a partitioned table profiled after it was written:
     how many of a key column's NULLs had been ``''`` (``write_partitioned``).
@@ -120,23 +120,36 @@ def _comparable(kind: T.DataType) -> bool:
 
 
 def _approximate(df: DataFrame) -> DataFrame:
-    """``(i, total, nulls, distinct)`` with an estimated ``distinct``."""
+    """``(i, total, nulls, distinct)`` with an estimated ``distinct``.
+
+    One aggregate per pass: a sketch is some 50 buffer fields per column, too
+    many for one aggregate over a wide table.
+    """
+    fields = list(enumerate(df.schema.fields))
+    passes = [
+        _estimated(df, fields[start : start + PASS_COLUMNS])
+        for start in range(0, len(fields), PASS_COLUMNS)
+    ]
+    return reduce(DataFrame.unionByName, passes)
+
+
+def _estimated(df: DataFrame, fields: list[tuple[int, T.StructField]]) -> DataFrame:
     aggregates = [F.count("*").alias("total")]
-    for i, f in enumerate(df.schema.fields):
-        if _comparable(f.dataType):
-            aggregates.append(F.count_if(field(f.name).isNull()).alias(f"nulls_{i}"))
-            aggregates.append(F.approx_count_distinct(field(f.name)).alias(f"distinct_{i}"))
     rows = []
-    for i, f in enumerate(df.schema.fields):
-        known = _comparable(f.dataType)
-        nulls = F.col(f"nulls_{i}") if known else F.lit(None).cast("bigint")
-        distinct = F.col(f"distinct_{i}") if known else F.lit(None).cast("bigint")
+    for i, f in fields:
+        nulls = distinct = F.lit(None).cast("bigint")
+        if _comparable(f.dataType):
+            value = field(f.name)
+            aggregates.append(F.count(value).alias(f"filled_{i}"))
+            aggregates.append(F.approx_count_distinct(value).alias(f"distinct_{i}"))
+            nulls = F.col("total") - F.col(f"filled_{i}")
+            distinct = F.col(f"distinct_{i}") + F.when(nulls > 0, 1).otherwise(0)
         rows.append(
             F.struct(
                 F.lit(i).alias("i"),
                 F.col("total"),
                 nulls.alias("nulls"),
-                (distinct + F.when(nulls > 0, 1).otherwise(0)).alias("distinct"),
+                distinct.alias("distinct"),
             )
         )
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))

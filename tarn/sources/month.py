@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from tarn.functions import field
 
-# Quotes are doubled inside quoted cells, and cells may hold line breaks.
-DIALECT = {"header": True, "escape": '"', "lineSep": "\n"}
+# Quotes are doubled inside quoted cells, and cells may hold line breaks. Left to
+# its default, NUL, the escape of the escape would drop NULs next to quotes.
+DIALECT = {"header": True, "escape": '"', "charToEscapeQuoteEscaping": '"', "lineSep": "\n"}
 
 # Cells with line breaks make a CSV file unsplittable, so one task reads one
 # file whole: bound the file, not the reader.

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,17 @@ def test_scratch_folders_are_new_and_shared(spark):
     assert shared is None or a.startswith(shared)
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    def session(**settings):
+        return SimpleNamespace(conf=settings)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(session(**{"spark.master": "yarn"}))
+    named = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://shared/"}
+    assert scratch_folder(session(**named)).startswith("hdfs://shared/tarn-")
+    assert scratch_folder(session(**{"spark.master": "local[2]"})).startswith("/")
+
+
 def test_partition_values_survive(spark, tmp_path):
     rows = [
         (1, "A/B=c", "01", "n"),
