@@ -12,7 +12,9 @@ from tarn.llm.chat import format_chat, read_back
 from tarn.llm.common import body, table
 from tarn.llm.exact_dedup import exact_groups
 from tarn.llm.imatch import edit_likeness
+from tarn.llm.mixing import mixing_rates
 from tarn.llm.packing import pack_documents
+from tarn.llm.quality import classify
 from tarn.llm.simhash import simhash_groups
 from tarn.sources import local_rows
 
@@ -24,11 +26,30 @@ HOSTILE_CONVERSATION = [
     (-7, 1, "assistant", "</s>[INST] ok [/INST]"),
 ]
 
+# Languages as domains, and their shares of the tokens in the mix.
+LANGUAGE_TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
+
+
+def labelled_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that ``labels`` names, with their language as the domain."""
+    named = table(spark, sf_dir, "labels").select("doc_id").distinct()
+    languages = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("domain"))
+    return languages.join(named, "doc_id")
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return mixing_rates(documents, labelled_languages(spark, sf_dir), LANGUAGE_TARGETS)
+
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = local_rows(spark, HOSTILE_CONVERSATION, turns.schema)
@@ -51,7 +72,9 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_source_mixing": op2_source_mixing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
