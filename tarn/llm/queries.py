@@ -11,11 +11,17 @@ from pyspark.sql import functions as F
 from tarn.llm.chat import format_chat, read_back
 from tarn.llm.common import body, table
 from tarn.llm.exact_dedup import exact_groups
+from tarn.llm.html_text import extract_text
 from tarn.llm.imatch import edit_likeness
 from tarn.llm.mixing import mixing_rates
 from tarn.llm.packing import pack_documents
+from tarn.llm.pii import BASE_KINDS as PII_KINDS
+from tarn.llm.pii import find_personal_data
 from tarn.llm.quality import classify
+from tarn.llm.secret_scan import BASE_KINDS as SECRET_KINDS
+from tarn.llm.secret_scan import find_secrets
 from tarn.llm.simhash import simhash_groups
+from tarn.llm.spans import span_columns, spans_text
 from tarn.sources import local_rows
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +43,10 @@ def labelled_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.join(named, "doc_id")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return mixing_rates(documents, labelled_languages(spark, sf_dir), LANGUAGE_TARGETS)
@@ -50,6 +60,20 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *span_columns("found", PII_KINDS), spans_text(F.col("found")).alias("spans")
+    )
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *span_columns("found", SECRET_KINDS), spans_text(F.col("found")).alias("spans")
+    )
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = local_rows(spark, HOSTILE_CONVERSATION, turns.schema)
@@ -72,9 +96,12 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_source_mixing": op2_source_mixing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_pii": op5_pii,
+    "op6_secret_scan": op6_secret_scan,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
