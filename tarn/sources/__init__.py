@@ -2,7 +2,7 @@
 
 from tarn.sources.month import land_month, read_month
 from tarn.sources.pages import read_pages
-from tarn.sources.paths import LakePaths, scratch_folder
+from tarn.sources.paths import LakePaths, listed_bytes, scratch_folder
 from tarn.sources.tables import (
     append_rows,
     local_rows,
@@ -15,6 +15,7 @@ __all__ = [
     "LakePaths",
     "append_rows",
     "land_month",
+    "listed_bytes",
     "local_rows",
     "read_month",
     "read_pages",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
@@ -17,8 +18,11 @@ from tarn.functions import field
 DIALECT = {"header": True, "escape": '"', "charToEscapeQuoteEscaping": '"', "lineSep": "\n"}
 
 # Cells with line breaks make a CSV file unsplittable, so one task reads one
-# file whole: bound the file, not the reader.
+# file whole: bound the file, not the reader, by records and by bytes.
 MAX_RECORDS_PER_FILE = 1_000_000
+MAX_BYTES_PER_FILE = 512 * 1024 * 1024
+# Rows from whose mean length the records that fill a file are reckoned.
+MEASURED_ROWS = 10_000
 
 
 def land_month(
@@ -26,6 +30,8 @@ def land_month(
     path: str,
     known: Sequence[str],
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
+    max_bytes_per_file: int = MAX_BYTES_PER_FILE,
+    compression: str = "none",
 ) -> None:
     """Append ``df`` to the month folder ``path``.
 
@@ -33,8 +39,17 @@ def land_month(
     the others follow by name. Rows with others go to a folder of their own
     inside the month, one per set of names, so the files of a folder share one
     header. Nested cells are written as JSON text. Spark names the files,
-    uniquely.
+    uniquely. Names that differ only by case are refused before anything is
+    written: no header with them could be read again.
+
+    A file holds at most ``max_records_per_file`` records, and fewer where the
+    mean length of the first rows says that they would exceed
+    ``max_bytes_per_file``.
     """
+    names = Counter(name.lower() for name in {*known, *df.columns})
+    clashes = sorted(name for name, n in names.items() if n > 1)
+    if clashes:
+        raise ValueError(f"column names that differ only by case: {', '.join(clashes)}")
     extras = sorted(name for name in df.columns if name not in known)
     cells = [
         field(name).alias(name) if name in df.columns else F.lit(None).cast("string").alias(name)
@@ -43,24 +58,37 @@ def land_month(
     for name in extras:
         nested = isinstance(df.schema[name].dataType, (T.ArrayType, T.MapType, T.StructType))
         cells.append((F.to_json(field(name)) if nested else field(name)).alias(name))
+    rows = df.select(*cells)
     (
-        df.select(*cells)
-        .write.mode("append")
+        rows.write.mode("append")
         .options(**DIALECT)
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("maxRecordsPerFile", max_records_per_file)
+        .option("maxRecordsPerFile", min(max_records_per_file, _fitting(rows, max_bytes_per_file)))
+        .option("compression", compression)
         .csv(f"{path}/{_header_folder(extras)}" if extras else path)
     )
 
 
+def _fitting(rows: DataFrame, max_bytes: int) -> int:
+    """How many records of the mean length of the first rows make ``max_bytes``."""
+    lengths = [
+        F.coalesce(F.octet_length(field(name).cast("string")), F.lit(0)) for name in rows.columns
+    ]
+    width = reduce(lambda a, b: a + b, lengths) + len(lengths)
+    mean = rows.select(width.alias("width")).limit(MEASURED_ROWS).agg(F.avg("width")).first()[0]
+    return max(1, int(max_bytes / (mean or 1)))
+
+
 def read_month(spark: SparkSession, path: str) -> DataFrame:
     """Every file of the month as one table of text columns; blanks are NULL.
 
-    Files are matched by column name. Spark reads CSV by position, so the
+    All files count, whatever their names and compression, and they are matched
+    by column name. Spark reads CSV by position, so the
     header of a folder is read first and then required of all its files: one
-    whose columns differ fails the read instead of filling the wrong columns.
+    whose columns differ fails the read instead of filling the wrong columns,
+    and so does a row with more or fewer cells than its header.
     """
     folders = [_read_folder(spark, folder) for folder in _folders(spark, path) or [path]]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), folders)
@@ -75,7 +103,6 @@ def _folders(spark: SparkSession, path: str) -> list[str]:
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
         .load(path)
     )
     folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
@@ -89,6 +116,9 @@ def _read_folder(spark: SparkSession, folder: str) -> DataFrame:
         spark.read.options(**DIALECT)
         .option("multiLine", True)
         .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        # Cells are counted only where all of them are parsed.
+        .option("columnPruning", False)
         .schema(schema)
         .csv(folder)
     )

@@ -7,6 +7,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from tarn.functions.clock import RunStamp
 
@@ -31,6 +32,9 @@ class LakePaths:
     def gold(self) -> str:
         return f"{self.root}/gold/{self.table}"
 
+    def staging(self, zone: str) -> str:
+        return f"{self.root}/staging/{zone}/{self.table}"
+
     def metadata(self, zone: str) -> str:
         return f"{self.root}/metadata/{zone}/{self.table}"
 
@@ -38,6 +42,12 @@ class LakePaths:
         return f"{self.root}/control/{zone}/{self.table}"
 
 
+def listed_bytes(spark: SparkSession, path: str | list[str]) -> int:
+    """The size of all files below ``path``. Lists them and opens none."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new, unused folder that every executor can reach.
 

@@ -45,6 +45,7 @@ def write_partitioned(
 ) -> dict[str, int]:
     """Replace the whole table at ``path``, one folder level per key.
 
+    The whole table is replaced whatever overwrite mode the session has.
     ``rebalance`` brings a key's rows together, so that a folder gets few
     files, and lets AQE cut a hot key into partitions of advisory size.
 
@@ -57,6 +58,7 @@ def write_partitioned(
     )
     (
         laid_out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*keys)
         .parquet(path)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import gzip
 import os
 
 import pytest
@@ -40,10 +41,23 @@ def test_pages_on_lines_share_a_file(spark, tmp_path):
 
 
 def test_named_fields_save_the_discovery(spark, tmp_path):
-    write_page(tmp_path, "1.json", [{"id": "a", "unknown": 1}])
-    rows = read_pages(spark, str(tmp_path), fields=["id", "absent"])
-    assert rows.columns == ["id", "absent"]
-    assert rows.collect() == [("a", None)]
+    write_page(tmp_path, "1.json", [{"id": "a", "n": 1, "b": True, "nil": None}, {"id": "b"}])
+    write_page(tmp_path, "2.json", [])
+    rows = read_pages(spark, str(tmp_path), fields=["id", "n", "b", "nil", "absent"])
+    assert dict(rows.dtypes) == dict.fromkeys(["id", "n", "b", "nil", "absent"], "string")
+    assert sorted(rows.collect()) == [("a", "1", "true", None, None), ("b", None, None, None, None)]
+
+
+def test_a_field_that_was_not_named_fails_the_read(spark, tmp_path):
+    write_page(tmp_path, "1.json", [{"id": "a"}, {"id": "b", "unknown": 1}])
+    with pytest.raises(Exception, match="fields that were not named: unknown"):
+        read_pages(spark, str(tmp_path), fields=["id"]).collect()
+
+
+def test_a_bad_page_of_named_fields_fails_the_read(spark, tmp_path):
+    (tmp_path / "2.json").write_text('[{"id": "b"')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_pages(spark, str(tmp_path), fields=["id"]).collect()
 
 
 def test_a_bad_page_fails_the_read(spark, tmp_path):
@@ -110,6 +124,44 @@ def test_files_are_bounded(spark, tmp_path):
     assert read_month(spark, str(tmp_path / "m")).distinct().count() == 100
 
 
+def test_long_records_are_cut_by_bytes(spark, tmp_path):
+    rows = spark.range(0, 40, 1, 1).selectExpr("cast(id as string) AS id", "repeat('x', 1000) AS t")
+    land_month(rows, str(tmp_path / "m"), ["id"], max_bytes_per_file=10_100)
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{tmp_path}/m/*/*.csv")]
+    assert len(sizes) >= 4 and max(sizes) < 12_000
+    assert read_month(spark, str(tmp_path / "m")).count() == 40
+
+
+def test_every_file_of_the_month_counts(spark, tmp_path):
+    month = tmp_path / "m"
+    extra = spark.createDataFrame([("1", "e")], "id string, extra string")
+    land_month(extra, str(month), ["id"])
+    plain = spark.createDataFrame([("2",)], "id string")
+    land_month(plain, str(month), ["id"], compression="deflate")
+    land_month(plain, str(month), ["id"], compression="gzip")
+    land_month(plain, str(month), ["id"])
+    (month / "by_hand.txt").write_text("id\n3\n")
+    with gzip.open(month / "other.csv.gz", "wt") as file:
+        file.write("id\n4\n")
+    rows = read_month(spark, str(month))
+    assert sorted(r.id for r in rows.collect()) == ["1", "2", "2", "2", "3", "4"]
+
+
+@pytest.mark.parametrize("line", ["2,b,c", "2"])
+def test_a_row_that_does_not_fit_its_header_fails_the_read(spark, tmp_path, line):
+    (tmp_path / "a.csv").write_text(f"id,name\n1,a\n{line}\n")
+    for columns in (["id", "name"], ["id"]):
+        with pytest.raises(Py4JJavaError, match="MALFORMED"):
+            read_month(spark, str(tmp_path)).select(*columns).collect()
+
+
+def test_names_that_clash_by_case_are_not_landed(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "2")], "ID string, Name string")
+    with pytest.raises(ValueError, match="differ only by case: id, name"):
+        land_month(rows, str(tmp_path / "m"), ["id", "name"])
+    assert not (tmp_path / "m").exists()
+
+
 def test_another_column_order_in_the_month_fails_the_read(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,name\n1,x\n")
     (tmp_path / "b.csv").write_text("name,id\ny,2\n")

@@ -131,6 +131,20 @@ def test_a_small_sorted_table_is_one_file_in_order(spark, tmp_path):
         assert ids == list(range(999, -1, -1))
 
 
+def test_overwrite_replaces_the_whole_table_in_a_dynamic_session(spark, tmp_path):
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    old = spark.createDataFrame([(1, "old", "s", "n")], KEYED)
+    new = spark.createDataFrame([(2, "new", "s", "n")], KEYED)
+    spark.conf.set(name, "dynamic")
+    try:
+        write_partitioned(old, str(tmp_path), ["country", "state"])
+        write_partitioned(new, str(tmp_path), ["country", "state"])
+    finally:
+        spark.conf.set(name, before)
+    assert [r.id for r in read_table(spark, str(tmp_path), KEYED).collect()] == [2]
+
+
 def test_append_keeps_both_copies(spark, tmp_path):
     row = local_rows(spark, [("t", 1)], T.StructType.fromDDL("name string, n long"))
     append_rows(row, str(tmp_path))
