@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,15 @@ from tarn.functions.clock import LAKE_ZONE
 # spellings a coordinate may have. Java would also read "1d" and "0x1p3".
 MISSING_TEXT = "None"
 FINITE_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# Where the parts of a wall clock stand in its text form: position and length.
+CLOCK_PARTS = {
+    "yyyy": (1, 4),
+    "MM": (6, 2),
+    "dd": (9, 2),
+    "HH": (12, 2),
+    "mm": (15, 2),
+    "ss": (18, 2),
+}
 INFINITE_NUMBER = r"^\s*[+-]?(?i:inf|infinity)\s*$"
 
 
@@ -49,7 +60,7 @@ def percent_of(part: Column, whole: Column) -> Column:
     Rounds the double's exact binary value, ties to even, as Python's ``round``
     does. ``bround`` rounds its shortest decimal form and differs on many ties.
     """
-    percent = F.format_number(part / whole * 100, 2).cast("double")
+    percent = F.call_function("format_number", part / whole * 100, F.lit("0.00")).cast("double")
     return F.when(whole > 0, percent).otherwise(F.lit(0.0))
 
 
@@ -61,9 +72,19 @@ def render_stamp(
 ) -> Column:
     """A wall-clock column of ``source_zone`` as text on the lake's clock.
 
-    The column form of :class:`tarn.functions.clock.RunStamp`.
+    The column form of :class:`tarn.functions.clock.RunStamp`. ``pattern`` is
+    made of ``yyyy MM dd HH mm ss`` and other text. The parts are taken from the
+    wall clock itself: ``date_format`` would pass it through the session's zone,
+    where that moment may not exist.
     """
     local = F.convert_timezone(
         F.lit(source_zone), F.lit(zone), moment.cast("timestamp_ntz")
     )
-    return F.date_format(local, pattern)
+    clock = local.cast("string")
+    parts = [part for part in re.split("(yyyy|MM|dd|HH|mm|ss)", pattern) if part]
+    return F.concat(
+        *[
+            F.substring(clock, *CLOCK_PARTS[part]) if part in CLOCK_PARTS else F.lit(part)
+            for part in parts
+        ]
+    )

@@ -39,16 +39,33 @@ def test_run_stamp_now():
     assert before <= RunStamp.now().ts_proc <= RunStamp.at(datetime.now(UTC)).ts_proc
 
 
-def test_column_form_agrees_with_run_stamp(spark):
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin", "America/New_York"])
+def test_column_form_agrees_with_run_stamp(spark, zone):
     moments = [
         datetime(2026, 1, 1, 2, 59, 59, tzinfo=UTC),
         datetime(2018, 11, 4, 3, 0, 0, tzinfo=UTC),
         datetime(2018, 2, 18, 1, 30, 0, tzinfo=UTC),
+        # Local times that clock changes skip or repeat in the other zones.
+        datetime(2018, 3, 25, 5, 30, 0, tzinfo=UTC),
+        datetime(2018, 10, 28, 5, 30, 0, tzinfo=UTC),
+        datetime(2018, 3, 11, 5, 30, 0, tzinfo=UTC),
+        datetime(2018, 11, 4, 4, 30, 0, 5000, tzinfo=UTC),
     ]
-    got = cells(spark, [m.replace(tzinfo=None) for m in moments], render_stamp, "timestamp_ntz")
+    name = "spark.sql.session.timeZone"
+    before = spark.conf.get(name)
+    spark.conf.set(name, zone)
+    try:
+        got = cells(spark, [m.replace(tzinfo=None) for m in moments], render_stamp, "timestamp_ntz")
+    finally:
+        spark.conf.set(name, before)
     assert [int(g) for g in got] == [RunStamp.at(m).ts_proc for m in moments]
 
 
+def test_percent_of_more_than_the_whole(spark):
+    got = spark.range(1).select(percent_of(F.lit(2000), F.lit(10))).first()[0]
+    assert got == 20000.0
+
+
 def test_blank_missing(spark):
     assert cells(spark, [None, "None", "none", " None", "", " "], blank_missing) == [
         "", "", "none", " None", "", " ",
