@@ -10,16 +10,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.functions import field, percent_of
+from tarn.sources.tables import local_rows
 
 # Columns per pass. A task holds the distinct values of one pass's columns at a
 # time, so this bounds its memory; Spark compiles ``stack`` up to 50 rows.
 PASS_COLUMNS = 8
+# Columns per pass of the estimate, which holds one sketch per column.
+SKETCH_COLUMNS = 32
 # Text of this many bytes or more is grouped by its 64-character digest.
 DIGEST_FROM = 64
 
 WHOLE_TYPES = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FRACTION_TYPES = (T.FloatType, T.DoubleType)
 
+PROFILE_SCHEMA = T.StructType(
+    [
+        T.StructField("coluna", T.StringType()),
+        T.StructField("tipo", T.StringType()),
+        T.StructField("qt_nulos", T.LongType()),
+        T.StructField("percent_nulos", T.DoubleType()),
+        T.StructField("cardinalidade", T.LongType()),
+    ]
+)
+
 
 def profile(
     df: DataFrame, approx: bool = False, blank_keys: Mapping[str, int] | None = None
@@ -38,6 +51,8 @@ def profile(
     how many of a key column's NULLs had been ``''`` (``write_partitioned``).
     """
     fields = df.schema.fields
+    if not fields:
+        return local_rows(df.sparkSession, [], PROFILE_SCHEMA)
     figures = (_approximate if approx else _exact)(df)
     figures = _with_blanks(figures, fields, blank_keys or {})
     comparable = F.col("i").isin([i for i, f in enumerate(fields) if _comparable(f.dataType)])
@@ -101,9 +116,15 @@ def _stacked(group: list[tuple[int, Column]]) -> Column:
 def _carrier(f: T.StructField) -> tuple[str, Column]:
     """The family of a column and its values, one to one, in the family's type."""
     value = field(f.name)
-    if isinstance(f.dataType, T.StringType) and f.dataType.isUTF8BinaryCollation():
-        long_text = F.octet_length(value) >= DIGEST_FROM
-        return "text", F.when(long_text, F.sha2(value, 256)).otherwise(value)
+    if _plain_text(f.dataType):
+        return "text", _digest(value)
+    if isinstance(f.dataType, T.BinaryType):
+        return "text", _digest(F.hex(value))
+    if isinstance(f.dataType, T.ArrayType) and _renders_one_to_one(f.dataType.elementType):
+        if isinstance(f.dataType.elementType, FRACTION_TYPES):
+            # Equal values must look equal: no negative zero.
+            value = F.transform(value, lambda x: x + F.lit(0.0).cast(f.dataType.elementType))
+        return "text", _digest(F.to_json(value))
     if isinstance(f.dataType, WHOLE_TYPES):
         return "whole", value.cast("bigint")
     if isinstance(f.dataType, FRACTION_TYPES):
@@ -111,6 +132,21 @@ def _carrier(f: T.StructField) -> tuple[str, Column]:
     return f.dataType.simpleString(), value
 
 
+def _digest(value: Column) -> Column:
+    """Text as it is while it is short, else its digest, so that long values
+    don't travel."""
+    return F.when(F.octet_length(value) >= DIGEST_FROM, F.sha2(value, 256)).otherwise(value)
+
+
+def _plain_text(kind: T.DataType) -> bool:
+    return isinstance(kind, T.StringType) and kind.isUTF8BinaryCollation()
+
+
+def _renders_one_to_one(kind: T.DataType) -> bool:
+    """Whether different elements have different JSON forms."""
+    return isinstance(kind, (*WHOLE_TYPES, *FRACTION_TYPES)) or _plain_text(kind)
+
+
 def _comparable(kind: T.DataType) -> bool:
     if isinstance(kind, T.ArrayType):
         return _comparable(kind.elementType)
@@ -127,8 +163,8 @@ def _approximate(df: DataFrame) -> DataFrame:
     """
     fields = list(enumerate(df.schema.fields))
     passes = [
-        _estimated(df, fields[start : start + PASS_COLUMNS])
-        for start in range(0, len(fields), PASS_COLUMNS)
+        _estimated(df, fields[start : start + SKETCH_COLUMNS])
+        for start in range(0, len(fields), SKETCH_COLUMNS)
     ]
     return reduce(DataFrame.unionByName, passes)
 
