@@ -6,12 +6,15 @@ import argparse
 from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from tarn.functions import LAKE_ZONE, RunStamp
 from tarn.operators import shape
+from tarn.operators.gates import NOT_THERE
 from tarn.plans import run_all, run_bronze, run_gold, run_silver
-from tarn.sources import LakePaths
+from tarn.plans.settings import scale_settings
+from tarn.sources import LakePaths, listed_bytes
 
 
 def parser() -> argparse.ArgumentParser:
@@ -28,10 +31,30 @@ def parser() -> argparse.ArgumentParser:
         "--at", type=datetime.fromisoformat, help="the run's moment, with its zone; default now"
     )
     cli.add_argument("--zone", default=LAKE_ZONE, help="the lake's clock")
+    cli.add_argument(
+        "--input-bytes",
+        type=int,
+        help="size the session for this much input; default the layer's files as listed",
+    )
     cli.add_argument("--approx", action="store_true", help="estimate the cardinalities")
     return cli
 
 
+def size_session(spark: SparkSession, source: str, input_bytes: int | None) -> None:
+    """Apply the settings that depend on the size of the layer's input.
+
+    A source that is not there is left to the layer's gate.
+    """
+    try:
+        size = listed_bytes(spark, source) if input_bytes is None else input_bytes
+    except AnalysisException as error:
+        if error.getCondition() not in NOT_THERE:
+            raise
+        return
+    for key, value in scale_settings(size, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     cli = parser()
     args = cli.parse_args(argv)
@@ -40,6 +63,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"tarn {args.layer}").getOrCreate()
     run = RunStamp.at(args.at, args.zone) if args.at else RunStamp.now(args.zone)
     paths = LakePaths(args.root, args.table)
+    source = {"silver": paths.raw_month(run), "gold": paths.silver}.get(args.layer, args.pages)
+    size_session(spark, source, args.input_bytes)
     landing = (spark, args.pages, paths, run, args.fields, not args.page_per_line)
     if args.layer == "bronze":
         run_bronze(*landing)

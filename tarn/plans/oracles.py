@@ -168,7 +168,8 @@ CHAIN_GOLD = _gold(_read_back(CHAIN_SILVER))
 ORACLES: dict[str, str] = {
     "bronze_normalize": BRONZE,
     "bronze_json_pages": SITE_RAW,
-    "bronze_csv_roundtrip": MONTH,
+    "bronze_csv_roundtrip": f"""SELECT * REPLACE (CASE WHEN CAST(trim(id) AS BIGINT) % 2 = 1
+        THEN segment END AS segment) FROM ({MONTH})""",
     "bronze_documents_roundtrip": """
         SELECT CAST(doc_id AS VARCHAR) AS id,
                NULLIF(CASE WHEN text = 'None' THEN '' ELSE text END, '') AS name,
@@ -193,6 +194,8 @@ ORACLES: dict[str, str] = {
         SELECT l_shipdate, l_returnflag, l_linestatus, COUNT(*) AS line_count
         FROM lineitem GROUP BY l_shipdate, l_returnflag, l_linestatus""",
     "profile_site": _profile(SILVER, SILVER_TYPES),
+    "profile_approx": f"""SELECT coluna, tipo, qt_nulos, percent_nulos, TRUE AS near_exact
+        FROM ({_profile("SELECT * FROM lineitem", _columns("lineitem"))})""",
     **{
         f"profile_{name}": _profile(f"SELECT * FROM {name}", _columns(name))
         for name in TABLE_COLUMNS

@@ -51,9 +51,6 @@ from tarn.sources import (
 RUN = RunStamp(ref=20260115, ref_partition=202601, ts_proc=20260115060000)
 NEXT_RUN = RunStamp(ref=20260116, ref_partition=202601, ts_proc=20260116060000)
 
-# The page size of the source.
-RECORDS_PER_PAGE = 200
-
 PROFILED_TABLES = [
     "customer",
     "orders",
@@ -67,6 +64,10 @@ PROFILED_TABLES = [
     "labels",
 ]
 
+# Relative error that an estimated cardinality is held to: four times the
+# standard deviation of the estimator.
+APPROX_ERROR = 0.2
+
 OUTCOME_SCHEMA = T.StructType(
     [T.StructField("layer", T.StringType()), T.StructField("outcome", T.StringType())]
 )
@@ -141,18 +142,9 @@ def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_pages(records: DataFrame, path: str) -> None:
-    """Page files of at most ``RECORDS_PER_PAGE`` records, one page per line.
-
-    Records are numbered where they are read, so no page can outgrow its size.
-    """
-    page = F.expr(f"monotonically_increasing_id() div {RECORDS_PER_PAGE}")
-    (
-        records.withColumn("page", page)
-        .groupBy("page")
-        .agg(F.collect_list(F.struct(*records.columns)).alias("records"))
-        .select(F.to_json("records", {"ignoreNullFields": "false"}).alias("value"))
-        .write.text(path)
-    )
+    """Page files of one page per line; a page holds one record, so that none is gathered."""
+    page = F.array(F.struct(*records.columns))
+    records.select(F.to_json(page, {"ignoreNullFields": "false"}).alias("value")).write.text(path)
 
 
 def bronze_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +164,14 @@ def _month_roundtrip(spark: SparkSession, records: DataFrame) -> DataFrame:
 
 
 def bronze_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = _month_roundtrip(spark, site_raw(spark, sf_dir))
+    """Two runs of a month: one compressed and one with an unknown field."""
+    month = LakePaths(scratch_folder(spark)).raw_month(RUN)
+    records = _bronze(site_raw(spark, sf_dir))
+    odd = F.regexp_extract("id", "[0-9]+", 0).cast("bigint") % 2 == 1
+    land_month(records.where(odd), month, layout.BRONZE_COLUMNS)
+    plain = records.where(~odd).drop("segment")
+    land_month(plain, month, layout.BRONZE_COLUMNS, compression="gzip")
+    landed = read_month(spark, month)
     coordinates = {name: landed[name].try_cast("double") for name in layout.COORDINATES}
     return landed.withColumns(coordinates)
 
@@ -223,12 +222,29 @@ def rollup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(counts, "line_count", keys)
 
 
+def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as a stored table: a profile reads its input several times."""
+    path = LakePaths(scratch_folder(spark)).silver
+    write_table(_silver(spark, sf_dir), path)
+    return read_table(spark, path, layout.SILVER_SCHEMA)
+
+
 def profile_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile(_silver(spark, sf_dir))
+    return profile(_stored_silver(spark, sf_dir))
 
 
 def profile_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile(table(spark, sf_dir, "lineitem"), approx=True)
+    """The estimated profile, with whether each estimate is near the exact count."""
+    lines = table(spark, sf_dir, "lineitem")
+    exact = profile(lines).select("coluna", F.col("cardinalidade").alias("exact"))
+    error = F.abs(F.col("cardinalidade") - F.col("exact")) / F.col("exact")
+    return (
+        profile(lines, approx=True)
+        .join(exact, "coluna")
+        .select(
+            "coluna", "tipo", "qt_nulos", "percent_nulos", (error <= APPROX_ERROR).alias("near_exact")
+        )
+    )
 
 
 def _profile_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -236,7 +252,7 @@ def _profile_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def metadata_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = _silver(spark, sf_dir)
+    silver = _stored_silver(spark, sf_dir)
     return catalogue(
         structure(silver, layout.SILVER_TABLE, "silver"),
         dictionary(spark, layout.SILVER_DICTIONARY),

@@ -1,14 +1,27 @@
 from __future__ import annotations
 
 import glob
+import hashlib
+import os
 
 import pytest
 from py4j.protocol import Py4JJavaError
 
-from golden import GOLD, GOLD_PROFILE, RECORDS, RUN, SILVER, SILVER_PROFILE, figures, write_page
+from golden import (
+    FIELDS,
+    GOLD,
+    GOLD_PROFILE,
+    RECORDS,
+    RUN,
+    SILVER,
+    SILVER_PROFILE,
+    figures,
+    write_page,
+)
+from tarn.__main__ import size_session
 from tarn.functions import RunStamp
 from tarn.operators import EmptyLayer
-from tarn.plans import layout, run_all, run_bronze, run_gold, run_silver, scale_settings
+from tarn.plans import layers, layout, run_all, run_bronze, run_gold, run_silver, scale_settings
 from tarn.sources import LakePaths, read_table
 
 NEXT_DAY = RunStamp(20260116, 202601, 20260116060000)
@@ -23,6 +36,39 @@ def lake(tmp_path):
     return str(tmp_path / "pages"), LakePaths(str(tmp_path / "lake"))
 
 
+def test_an_empty_result_leaves_the_old_table(spark, lake, monkeypatch):
+    pages, paths = lake
+    run_all(spark, pages, paths, RUN)
+    before = {zone: sorted(os.listdir(getattr(paths, zone))) for zone in ("silver", "gold")}
+    for function, layer, job in (("conform", "Silver", run_silver), ("count_by", "Gold", run_gold)):
+        real = getattr(layers, function)
+        monkeypatch.setattr(layers, function, lambda *args, real=real: real(*args).where("false"))
+        with pytest.raises(EmptyLayer, match=f"{layer}, before the write"):
+            job(spark, paths, NEXT_DAY)
+    assert before == {zone: sorted(os.listdir(getattr(paths, zone))) for zone in before}
+
+
+def test_the_command_line_sizes_the_session(spark, lake):
+    pages, _ = lake
+    session = spark.newSession()
+    size_session(session, pages, 100 * 2**40)
+    assert int(session.conf.get("spark.sql.shuffle.partitions")) == 50_000
+    size_session(session, pages, None)
+    cores = spark.sparkContext.defaultParallelism
+    assert int(session.conf.get("spark.sql.shuffle.partitions")) == cores
+    size_session(session, pages + "/none", None)
+
+
+def test_stored_descriptions_are_pinned():
+    digests = {
+        "SILVER_DICTIONARY": "bcf8b51562293fbcc4f2280680382dec5b66adb96490a99cd99806c68db25b84",
+        "GOLD_DICTIONARY": "5cbdb394f91e5cac633e63e83fe4d21279c7c84998bd3e14c059addaf715e9b7",
+    }
+    for name, digest in digests.items():
+        text = "\n".join("\t".join(entry) for entry in getattr(layout, name))
+        assert hashlib.sha256(text.encode()).hexdigest() == digest
+
+
 def described(spark, paths, zone):
     return {r.coluna: r for r in spark.read.parquet(paths.metadata(zone)).collect()}
 
@@ -164,7 +210,7 @@ def test_command_line(spark, lake, capsys):
     main(["all", "--pages", pages, *at])
     printed = capsys.readouterr().out
     assert "Porto Alegre" in printed and "20260115060000" in printed
-    main(["bronze", "--pages", pages, "--fields", "id", "city", *at])
+    main(["bronze", "--pages", pages, "--fields", *FIELDS, *at])
     main(["silver", *at])
     main(["gold", "--approx", *at])
     gold = read_table(spark, paths.gold, layout.GOLD_SCHEMA)
