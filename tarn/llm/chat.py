@@ -21,8 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarn.functions import field
-from tarn.llm.common import body
+from tarn.llm.common import body, picked
 from tarn.llm.tokens import vocabulary
 
 # The template's control strings, in the order of their ids above
@@ -113,12 +112,12 @@ def format_chat(
     conversation ids form one conversation. Repeated rows are turns of their
     own. An empty table gives no rows; further columns do not matter.
     """
-    rows = turns.select(
-        field(conv_id).cast("bigint").alias("conv_id"),
-        field(turn).cast("bigint").alias("turn"),
-        body(role).alias("role"),
-        body(text).alias("text"),
-        F.xxhash64(body(text)).alias("text_key"),
+    rows = picked(turns, conv_id=conv_id, turn=turn, role=role, text=text).select(
+        F.col("conv_id").cast("bigint"),
+        F.col("turn").cast("bigint"),
+        body("role").alias("role"),
+        body("text").alias("text"),
+        F.xxhash64(body("text")).alias("text_key"),
     )
     order = ["turn", "role_key", "text_key"]
     before = Window.partitionBy("conv_id").orderBy(*order).rowsBetween(

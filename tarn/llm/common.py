@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,27 @@ def body(column: str) -> Column:
     return F.coalesce(field(column).cast("string"), F.lit(""))
 
 
+def picked(df: DataFrame, **names: str) -> DataFrame:
+    """Columns of ``df`` by their exact names, under new ones.
+
+    Other columns don't matter, not even ones that differ by case only.
+    """
+    held = hold(df)
+    return held.select(
+        *[F.col(f"_c{df.columns.index(old)}").alias(new) for new, old in names.items()]
+    )
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """``df`` with its columns renamed by place, so that none clashes with ours."""
+    return df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+
+
+def release(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns that ``hold`` renamed, under their own names again."""
+    return df.select(*[F.col(f"_c{i}").alias(name) for i, name in enumerate(columns)])
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to a new folder that all executors share, and read again.
 
@@ -82,8 +105,8 @@ def without_ids(docs: DataFrame, doc_id: str, dropped: DataFrame) -> DataFrame:
     ids = dropped.select(F.col(dropped.columns[0]).cast("bigint").alias("dropped_id")).where(
         "dropped_id IS NOT NULL"
     )
-    key = field(doc_id).cast("bigint")
-    flagged = flag_members(docs, [key], filter_pages(ids), "maybe_dropped")
+    key = F.col(f"_c{docs.columns.index(doc_id)}").cast("bigint")
+    flagged = flag_members(hold(docs), [key], filter_pages(ids), "maybe_dropped")
     suspects = flagged.where("maybe_dropped")
     left = suspects.join(ids, key == F.col("dropped_id"), "left_anti")
-    return flagged.where("NOT maybe_dropped").unionByName(left).drop("maybe_dropped")
+    return release(flagged.where("NOT maybe_dropped").union(left), docs.columns)

@@ -11,12 +11,13 @@ full hash and nothing else, because groups are formed by the full hash.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.functions import field
-from tarn.llm.common import body, filter_pages, flag_members
+from tarn.llm.common import body, filter_pages, flag_members, hold, picked, release
 
 # Code points of the prefix that is hashed first.
 PREFIX = 256
@@ -75,12 +76,8 @@ def exact_groups(
     An empty table gives no rows. ``carry`` names further columns to return;
     the others, whatever their names, do not matter.
     """
-    picked = docs.select(
-        field(doc_id).alias("_d"),
-        field(text).alias("_t"),
-        *[field(name).alias(f"_c{i}") for i, name in enumerate(carry)],
-    )
-    refined = _refined(picked, "_t")
+    extra = {f"_c{i}": name for i, name in enumerate(carry)}
+    refined = _refined(picked(docs, _d=doc_id, _t=text, **extra), "_t")
     groups = _groups(refined, "_d")
     # Rows without a full hash get a key of their own, so that they spread.
     key = F.coalesce(F.col("_full"), F.concat(F.lit("-"), F.xxhash64("_d", "_size")))
@@ -107,10 +104,11 @@ def drop_exact_copies(
     ``exact_groups``.
     """
     columns = docs.columns
-    held = docs.select(
-        *[field(name).alias(f"_c{i}") for i, name in enumerate(columns)],
-        field(doc_id).alias("_d"),
-        field(text).alias("_t"),
+    held = hold(docs).withColumns(
+        {
+            "_d": F.col(f"_c{columns.index(doc_id)}"),
+            "_t": F.col(f"_c{columns.index(text)}"),
+        }
     )
     refined = _refined(held, "_t")
     groups = _groups(refined, "_d")
@@ -125,8 +123,4 @@ def drop_exact_copies(
     once = stay.where(F.coalesce(F.col("_keep_rows"), F.lit(1)) == 1)
     again = stay.where("_keep_rows > 1").dropDuplicates(["_d", "_size", "_full"])
     parts = [refined.where("NOT _may_repeat"), once, again]
-    out = [F.col(f"_c{i}").alias(name) for i, name in enumerate(columns)]
-    first, *rest = [part.select(*out) for part in parts]
-    for part in rest:
-        first = first.union(part)
-    return first
+    return reduce(DataFrame.union, [release(part, columns) for part in parts])

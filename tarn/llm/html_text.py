@@ -15,9 +15,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tarn.functions import field
-from tarn.llm.common import body
+from tarn.llm.common import body, picked
 
 # Element names by their role in a page.
 VOID = frozenset(
@@ -382,9 +382,7 @@ def extract_text(
                 ["page_id", "url", "text", "n_chars"],
             )
 
-    picked = pages.select(
-        field(page_id).cast("bigint").alias("page_id"),
-        field(url).cast("string").alias("url"),
-        body(markup).alias("page"),
+    rows = picked(pages, page_id=page_id, url=url, page=markup).select(
+        F.col("page_id").cast("bigint"), F.col("url").cast("string"), body("page").alias("page")
     )
-    return picked.mapInArrow(extract, "page_id bigint, url string, text string, n_chars bigint")
+    return rows.mapInArrow(extract, "page_id bigint, url string, text string, n_chars bigint")

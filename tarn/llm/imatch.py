@@ -26,8 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarn.functions import field
-from tarn.llm.common import body, stored
+from tarn.llm.common import body, picked, stored
 
 # The band: shares of the documents that hold a term.
 LOW = 0.0004
@@ -84,7 +83,7 @@ def lexicon(
 
     All documents count; a term that only one holds is never in the lexicon.
     """
-    texts = docs.select(body(text).alias("text"))
+    texts = picked(docs, text=text).select(body("text").alias("text"))
     total = texts.count()
     counted = texts.mapInArrow(_count_terms, "term bigint, documents bigint")
     kept = (
@@ -183,8 +182,10 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 [batch.column("doc_id"), pa.array(found, pa.string())], ["doc_id", "fingerprint"]
             )
 
-    picked = docs.select(field(doc_id).cast("bigint").alias("doc_id"), body(text).alias("text"))
-    return picked.mapInArrow(apply, "doc_id bigint, fingerprint string")
+    rows = picked(docs, doc_id=doc_id, text=text).select(
+        F.col("doc_id").cast("bigint"), body("text").alias("text")
+    )
+    return rows.mapInArrow(apply, "doc_id bigint, fingerprint string")
 
 
 def _cuts_below(key: Column, cuts: list[int]) -> Column:
@@ -211,13 +212,15 @@ def _in_id_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     shuffled once. Null ids come first; rows with the same id are ordered by
     their texts' hashes.
     """
-    key = F.coalesce(field(doc_id).cast("bigint"), F.lit(-(1 << 63)))
-    rows = docs.select(
-        key.alias("id_key"),
-        field(doc_id).cast("bigint").alias("doc_id"),
-        body(text).alias("text"),
-    ).withColumn("tie", F.xxhash64("text"))
-    ids = docs.select(key.alias("id_key"))
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))
+    rows = (
+        picked(docs, doc_id=doc_id, text=text)
+        .select(
+            key.alias("id_key"), F.col("doc_id").cast("bigint"), body("text").alias("text")
+        )
+        .withColumn("tie", F.xxhash64("text"))
+    )
+    ids = picked(docs, doc_id=doc_id).select(key.alias("id_key"))
     total = ids.count()
     ranges = max(
         8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),

@@ -4,7 +4,7 @@ A classifier learned from a labelled table gives every document posteriors over
 the domains. Rates, how often each document is used, are then fitted: the
 expected tokens of a domain are the sum over documents of rate x tokens x
 posterior, and projected gradient steps bring them to the targets in the least
-squares sense, from equal rates on and never below zero.
+squares sense, from equal rates on, with momentum, and never below zero.
 
 A document's gradient depends on its posteriors and on one number per domain.
 So a step is one aggregation to as many numbers as there are domains, and a
@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarn.functions import field
-from tarn.llm.common import body, filter_pages, flag_members, stored
+from tarn.llm.common import body, filter_pages, flag_members, hold, picked, release, stored
 from tarn.llm.models import fit, labelled_sample
 from tarn.llm.ngrams import Featurizer, margin, sigmoid
 
@@ -42,9 +41,11 @@ def posteriors(
     docs: DataFrame, labelled: DataFrame, domains: list[str], doc_id: str, text: str
 ) -> DataFrame:
     """``(doc_id, n_tokens, posterior)`` for every row, in the order of ``domains``."""
-    known = labelled.select(
-        field(doc_id).cast("bigint").alias("id"), F.col("domain").alias("label")
-    ).where(F.col("label").isin(domains))
+    known = (
+        picked(labelled, id=doc_id, label="domain")
+        .select(F.col("id").cast("bigint"), "label")
+        .where(F.col("label").isin(domains))
+    )
     sample = labelled_sample(docs, known, MAX_LABELLED, doc_id, text)
     weights = docs.sparkSession.sparkContext.broadcast(fit(sample, domains, EPOCHS, FEATURES))
 
@@ -66,31 +67,38 @@ def posteriors(
                 ["doc_id", "n_tokens", "posterior"],
             )
 
-    picked = docs.select(field(doc_id).cast("bigint").alias("doc_id"), body(text).alias("text"))
-    return picked.mapInArrow(apply, POSTERIOR_SCHEMA)
+    rows = picked(docs, doc_id=doc_id, text=text).select(
+        F.col("doc_id").cast("bigint"), body("text").alias("text")
+    )
+    return rows.mapInArrow(apply, POSTERIOR_SCHEMA)
 
 
 def _matrix(column: pa.Array, domains: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, domains)
 
 
-def _rates(chances: np.ndarray, start: float, steps: list[np.ndarray]) -> np.ndarray:
-    """The rates after projected steps, each a vector over the domains."""
-    rates = np.full(len(chances), start)
-    for step in steps:
-        rates = np.maximum(0.0, rates - chances @ step)
-    return rates
+def _rates(
+    chances: np.ndarray, start: float, steps: list[np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """The rates after projected steps, each a vector over the domains, and the
+    point ahead of them from which the next step is taken (momentum)."""
+    rates = before = np.full(len(chances), start)
+    ahead = rates
+    for number, step in enumerate(steps, 1):
+        before, rates = rates, np.maximum(0.0, ahead - chances @ step)
+        ahead = rates + number / (number + 3) * (rates - before)
+    return rates, ahead
 
 
 def _expected(members: DataFrame, domains: int, start: float, steps: list[np.ndarray]) -> np.ndarray:
-    """Tokens per domain under the rates that ``steps`` lead to."""
+    """Tokens per domain at the point ahead that ``steps`` lead to."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(domains)
         for batch in batches:
             chances = _matrix(batch.column("posterior"), domains)
             tokens = batch.column("n_tokens").to_numpy(zero_copy_only=False)
-            total += (_rates(chances, start, steps) * tokens) @ chances
+            total += (_rates(chances, start, steps)[1] * tokens) @ chances
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(domains, dtype=np.int32)), pa.array(total)], ["domain", "tokens"]
         )
@@ -142,9 +150,10 @@ def fit_rates(
 
     The targets are ``shares`` of the corpus's tokens, or with ``keep_all`` of
     as many tokens as the most over-represented domain needs to stay whole.
-    Residuals are weighted by one over the square root of their target, and a
-    document's step by one over its tokens; the step length is one over the
-    largest eigenvalue under these weights, so every step lowers the error.
+    A document's step is weighted by one over its tokens, and residuals by the
+    inverse of the posteriors' products. Under these weights the problem has
+    curvature one, so the step length is one and few steps are needed. Targets
+    that no rates can meet are met as nearly as these weights say.
     """
     domains = len(shares)
     plain = _expected(members, domains, 1.0, [])
@@ -154,16 +163,15 @@ def fit_rates(
     if keep_all:
         total = max(m / w for m, w in zip(plain, shares, strict=True) if w > 0)
     targets = shares * total
-    scale = 1.0 / np.sqrt(np.maximum(targets, total * 1e-6))
-    weighted = scale[:, None] * _gram(members, domains) * scale[None, :]
-    length = 1.0 / max(np.linalg.eigvalsh(weighted)[-1], 1e-12)
+    gram = _gram(members, domains)
+    weights = np.linalg.inv(gram + 1e-6 * np.trace(gram) * np.eye(domains))
     start = total / plain.sum()
     steps: list[np.ndarray] = []
     for _ in range(MAX_STEPS):
         residual = _expected(members, domains, start, steps) - targets
         if np.all(np.abs(residual) <= CLOSE * np.maximum(targets, total * 1e-3)):
             break
-        steps.append(length * scale * scale * residual)
+        steps.append(weights @ residual)
     return start, steps
 
 
@@ -194,7 +202,7 @@ def mixing_rates(
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rates = _rates(_matrix(batch.column("posterior"), len(names)), start, steps)
+            rates, _ = _rates(_matrix(batch.column("posterior"), len(names)), start, steps)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(rates)], [*batch.schema.names, "rate"]
             )
@@ -224,12 +232,10 @@ def mix(
         .agg(F.max("copies").alias("_copies"))
         .where("_copies <> 1")
     )
-    key = field(doc_id).cast("bigint")
-    flagged = flag_members(docs, [key], filter_pages(other.select("_mixed_id")), "_maybe")
+    key = F.col(f"_c{docs.columns.index(doc_id)}").cast("bigint")
+    flagged = flag_members(hold(docs), [key], filter_pages(other.select("_mixed_id")), "_maybe")
     again = flagged.where("_maybe").join(other, key == F.col("_mixed_id"), "left")
     times = F.coalesce(F.col("_copies"), F.lit(1)).cast("int")
-    repeated = again.select(
-        *[field(name) for name in docs.columns],
-        F.explode(F.array_repeat(F.lit(0), times)).alias("_once"),
-    ).drop("_once")
-    return flagged.where("NOT _maybe").drop("_maybe").unionByName(repeated)
+    repeated = again.withColumn("_once", F.explode(F.array_repeat(F.lit(0), times)))
+    parts = [release(part, docs.columns) for part in (flagged.where("NOT _maybe"), repeated)]
+    return parts[0].union(parts[1])

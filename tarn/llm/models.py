@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarn.functions import field
-from tarn.llm.common import body, stored
+from tarn.llm.common import body, hold, picked, stored
 from tarn.llm.ngrams import BITS, Featurizer, counted, train
 
 
@@ -25,14 +24,16 @@ def labelled_sample(
     id one. The ids that are broadcast are ``bound`` at most.
     """
     known = labels.where("id IS NOT NULL AND label IS NOT NULL")
-    picked = (
+    chosen = (
         known.groupBy("id")
         .agg(F.max("label").alias("label"))
         .orderBy(F.xxhash64("id"), "id")
         .limit(bound)
     )
-    texts = docs.select(field(doc_id).cast("bigint").alias("id"), body(text).alias("text"))
-    return texts.join(F.broadcast(picked), "id").dropDuplicates(["id"])
+    texts = picked(docs, id=doc_id, text=text).select(
+        F.col("id").cast("bigint"), body("text").alias("text")
+    )
+    return texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"])
 
 
 def fit(sample: DataFrame, classes: Sequence, epochs: int, featurizer: dict) -> np.ndarray:
@@ -100,9 +101,9 @@ def with_columns_of(
     Rows keep all their columns, whatever their names, and are not shuffled.
     New columns replace ones of the same name.
     """
-    kept = [name for name in docs.columns if name not in columns.fieldNames()]
-    held = docs.select(
-        *[field(name).alias(f"_c{i}") for i, name in enumerate(kept)], body(text).alias("_text")
+    kept = {i: n for i, n in enumerate(docs.columns) if n not in columns.fieldNames()}
+    held = hold(docs).select(
+        *[f"_c{i}" for i in kept], body(f"_c{docs.columns.index(text)}").alias("_text")
     )
     schema = T.StructType(
         [T.StructField(f.name, f.dataType) for f in held.schema.fields[:-1]] + columns.fields
@@ -117,5 +118,5 @@ def with_columns_of(
             )
 
     out = held.mapInArrow(apply, schema)
-    names = [F.col(f"_c{i}").alias(name) for i, name in enumerate(kept)]
+    names = [F.col(f"_c{i}").alias(name) for i, name in kept.items()]
     return out.select(*names, *columns.fieldNames())

@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarn.functions import field
-from tarn.llm.common import body, stored
+from tarn.llm.common import body, picked, stored
 from tarn.llm.tokens import vocabulary
 
 SEQUENCE_TOKENS = 2048
@@ -79,8 +78,10 @@ def pieces(
                 names.append("token_ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    picked = docs.select(field(doc_id).cast("bigint").alias("doc_id"), body(text).alias("text"))
-    return picked.mapInArrow(encode, PIECE_SCHEMA + (", token_ids array<int>" if with_ids else ""))
+    rows = picked(docs, doc_id=doc_id, text=text).select(
+        F.col("doc_id").cast("bigint"), body("text").alias("text")
+    )
+    return rows.mapInArrow(encode, PIECE_SCHEMA + (", token_ids array<int>" if with_ids else ""))
 
 
 def exact_patterns(histogram: np.ndarray, capacity: int) -> np.ndarray:

@@ -18,8 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarn.functions import field
-from tarn.llm.common import body, filter_pages, flag_members, stored
+from tarn.llm.common import body, filter_pages, flag_members, picked, stored
 from tarn.llm.spans import SPANS_TYPE, no_spans
 
 # Kinds in the order of ties. The first four are the base.
@@ -52,9 +51,9 @@ REMOVE_FROM = 0.8
 GENERALISE_FROM = 0.5
 
 
-def _clean(text: str) -> Column:
+def _clean() -> Column:
     """The text with the marking characters, if it has any, replaced one by one."""
-    return F.translate(body(text), OPEN + CLOSE, OTHER + OTHER)
+    return F.translate("text", OPEN + CLOSE, OTHER + OTHER)
 
 
 def _matches(clean: Column, pattern: str) -> Column:
@@ -116,15 +115,13 @@ def _is_valid(kind: str) -> Callable[[Column], Column]:
     return lambda match: _valid(kind, match["value"])
 
 
-def _base(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _base(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, base, contexts`` for every row.
 
     ``contexts`` holds a (value, term) for every term in the context of a match.
     """
     cleaned = docs.select(
-        field(doc_id).cast("bigint").alias("doc_id"),
-        F.xxhash64(body(text)).alias("text_hash"),
-        _clean(text).alias("clean"),
+        "doc_id", F.xxhash64("text").alias("text_hash"), _clean().alias("clean")
     )
     hint = {"email": F.col("clean").contains("@"), "phone": F.col("clean").contains("+")}
     nothing = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
@@ -207,12 +204,12 @@ def _candidates(found: DataFrame) -> DataFrame:
     )
 
 
-def _carriers(docs: DataFrame, terms: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _carriers(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``(doc_id, text_hash, term)`` for every document that holds one of ``terms``."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(_clean(text)), F.lit(TERM), F.lit(0)))
+    words = F.array_distinct(F.regexp_extract_all(F.lower(_clean()), F.lit(TERM), F.lit(0)))
     exploded = docs.select(
-        field(doc_id).cast("bigint").alias("doc_id"),
-        F.xxhash64(body(text)).alias("text_hash"),
+        "doc_id",
+        F.xxhash64("text").alias("text_hash"),
         F.explode(words).alias("term"),
     )
     known = flag_members(exploded, [F.col("term")], filter_pages(terms), "maybe").where("maybe")
@@ -242,14 +239,14 @@ def disclosing_terms(candidates: DataFrame, carriers: DataFrame, values: DataFra
     )
 
 
-def _term_spans(docs: DataFrame, owned: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _term_spans(docs: DataFrame, owned: DataFrame) -> DataFrame:
     """``(t_doc_id, t_hash, term_spans)``: where the documents' disclosing terms are.
 
     ``owned`` has the terms per document. Only documents that the membership
     filter lets through are shuffled.
     """
     keyed = docs.select(
-        field(doc_id).cast("bigint").alias("d"), F.xxhash64(body(text)).alias("h"), _clean(text).alias("clean")
+        F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), _clean().alias("clean")
     )
     pages = filter_pages(owned.select("t_doc_id", "t_hash"))
     flagged = flag_members(keyed, [F.col("d"), F.col("h")], pages, "maybe").where("maybe")
@@ -284,12 +281,15 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     are rows of their own; equal texts under one id get equal spans. An empty
     table gives no rows; further columns do not matter.
     """
-    found = stored(_base(docs, doc_id, text))
+    docs = picked(docs, d=doc_id, t=text).select(
+        F.col("d").cast("bigint").alias("doc_id"), body("t").alias("text")
+    )
+    found = stored(_base(docs))
     candidates = stored(_candidates(found))
     if candidates.isEmpty():
         return found.select(F.col("doc_id").alias(doc_id), F.col("base").alias("found"))
     terms = candidates.select("term").distinct()
-    carriers = stored(_carriers(docs, terms, doc_id, text))
+    carriers = stored(_carriers(docs, terms))
     values = (
         found.select(F.explode(F.array_distinct("contexts.value")).alias("value"))
         .groupBy("value")
@@ -302,7 +302,7 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         .groupBy(F.col("doc_id").alias("t_doc_id"), F.col("text_hash").alias("t_hash"))
         .agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("terms"))
     )
-    spans = _term_spans(docs, owned, doc_id, text)
+    spans = _term_spans(docs, owned)
     joined = found.join(
         spans,
         F.col("doc_id").eqNullSafe(F.col("t_doc_id")) & (F.col("text_hash") == F.col("t_hash")),

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarn.functions import field
+from tarn.llm.common import hold, picked, release
 from tarn.llm.models import fit, labelled_sample, with_columns_of
 from tarn.llm.ngrams import Featurizer, margin, sigmoid
 
@@ -44,8 +44,11 @@ def train_quality(
 
     Without any label all weights are zero, and every score is a half.
     """
-    key = field(doc_id).cast("bigint")
-    known = labels.where(~held_out(key)).select(key.alias("id"), field(label).alias("label"))
+    known = (
+        picked(labels, id=doc_id, label=label)
+        .select(F.col("id").cast("bigint"), "label")
+        .where(~held_out(F.col("id")))
+    )
     sample = labelled_sample(docs, known, max_labelled, doc_id, text)
     return fit(sample, [1], EPOCHS, FEATURES)[0]
 
@@ -83,8 +86,8 @@ def classify(
     further columns do not matter.
     """
     weights = train_quality(docs, labels, doc_id, text, label)
-    picked = docs.select(field(doc_id).alias("_id"), field(text).alias("_t"))
-    return score_quality(picked, weights, "_t").select(
+    rows = picked(docs, _id=doc_id, _t=text)
+    return score_quality(rows, weights, "_t").select(
         F.col("_id").alias(doc_id),
         held_out(F.col("_id")).alias("held_out"),
         "score",
@@ -101,9 +104,6 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``docs`` that are predicted to be good, with all their columns."""
     weights = train_quality(docs, labels, doc_id, text, label)
-    columns = docs.columns
-    held = docs.select(
-        *[field(name).alias(f"_d{i}") for i, name in enumerate(columns)], field(text).alias("_t")
-    )
-    scored = score_quality(held, weights, "_t").where(F.col("score") >= THRESHOLD)
-    return scored.select(*[F.col(f"_d{i}").alias(name) for i, name in enumerate(columns)])
+    text_at = f"_c{docs.columns.index(text)}"
+    scored = score_quality(hold(docs), weights, text_at).where(F.col("score") >= THRESHOLD)
+    return release(scored, docs.columns)

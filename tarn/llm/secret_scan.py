@@ -23,8 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarn.functions import field
-from tarn.llm.common import body, stored
+from tarn.llm.common import body, picked, stored
 from tarn.llm.spans import SPANS_TYPE, no_spans
 
 # Kinds in the order of ties. The first three are the base.
@@ -212,8 +211,10 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     carried as they are. An empty table gives no rows; further columns do not
     matter.
     """
-    picked = docs.select(field(doc_id).cast("bigint").alias("doc_id"), body(text).alias("text"))
-    scanned = stored(picked.mapInArrow(_scan, SCAN_SCHEMA))
+    rows = picked(docs, doc_id=doc_id, text=text).select(
+        F.col("doc_id").cast("bigint"), body("text").alias("text")
+    )
+    scanned = stored(rows.mapInArrow(_scan, SCAN_SCHEMA))
     linked = _linked(scanned)
     joined = scanned.join(linked, scanned["row_key"] == linked["linked_key"], "left")
     found = F.array_sort(F.concat("base", F.coalesce("linked", no_spans())))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.functions import field
-from tarn.llm.common import body, stored, without_ids
+from tarn.llm.common import body, picked, stored, without_ids
 from tarn.llm.components import connected_components
 
 # The operator's contract.
@@ -81,10 +81,10 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, print)`` for every row; the 64 bits are stored as a signed long."""
-    picked = docs.select(
-        field(doc_id).cast("bigint").alias("doc_id"), body(text).cast("binary").alias("text")
+    rows = picked(docs, doc_id=doc_id, text=text).select(
+        F.col("doc_id").cast("bigint"), body("text").cast("binary").alias("text")
     )
-    return picked.mapInArrow(_fingerprints, "doc_id bigint, print bigint")
+    return rows.mapInArrow(_fingerprints, "doc_id bigint, print bigint")
 
 
 class BKTree:

@@ -1,0 +1,197 @@
+"""Personal data and secrets against plain Python, and the spans the methods add."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import duckdb
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from oddities import TEXTS, empty, frame, odd
+from pyspark.sql import functions as F
+
+from tarn.llm import pii
+from tarn.llm.common import picked
+from tarn.llm.pii import apply_spans, find_personal_data
+from tarn.llm.queries import QUERIES
+from tarn.llm.secret_scan import find_secrets
+from tarn.llm.spans import spans_text
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def plain_pii(text):
+    found = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        found.append((m.start(), 0, "email", m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(part) <= 255 for part in m.group().split(".")):
+            found.append((m.start(), 1, "ip", m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[ -]", "", m.group())
+        if 12 <= len(digits) <= 19 and luhn(digits):
+            found.append((m.start(), 2, "card", m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m.group())) <= 15:
+            found.append((m.start(), 3, "phone", m.end()))
+    return sorted(found)
+
+
+ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def plain_secrets(text):
+    found = []
+    for m in re.finditer(ASSIGN, text, re.I | re.A):
+        if len(m.group(2)) >= 6:
+            found.append((m.start(), 0, "assign", m.end()))
+    for m in re.finditer("AKIA[A-Z0-9]+", text):
+        if m.end() - m.start() >= 20:
+            found.append((m.start(), 1, "access", m.end()))
+    for m in re.finditer("[0-9a-f]+", text):
+        if m.end() - m.start() >= 24:
+            found.append((m.start(), 2, "hex", m.end()))
+    return sorted(found)
+
+
+def joined(spans):
+    return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in spans)
+
+
+@pytest.mark.parametrize(
+    ("query", "plain", "kinds"),
+    [
+        ("op5_pii", plain_pii, ["email", "ip", "card", "phone"]),
+        ("op6_secret_scan", plain_secrets, ["assign", "access", "hex"]),
+    ],
+)
+def test_query_finds_the_base_spans(spark, sf_dir, query, plain, kinds):
+    texts = dict(duckdb.connect().execute(f"SELECT doc_id, text FROM '{sf_dir}/documents.parquet'").fetchall())
+    rows = QUERIES[query](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        spans = plain(texts[r.doc_id] or "")
+        assert r.base_sha256 == hashlib.sha256(joined(spans).encode()).hexdigest()
+        assert [r[f"n_{kind}"] for kind in kinds] == [sum(s[2] == k for s in spans) for k in kinds]
+        own = [s for s in r.spans.split(",") if s.split(":")[0] in kinds]
+        assert ",".join(own) == joined(spans)
+
+
+
+PII_TEXT = st.lists(
+    st.one_of(
+        st.sampled_from(
+            "a.b@c.d x@y a@b.c_d@e.f 1.2.3.4 1.2.3.4.5.6.7.8 256.1.1.1 000255.0.0.1 4111111111111111 "
+            "4111-1111 +1 (555) 123-4567 +12 +123456789 00 99 .. -- @ + ( ) . - _ é \U0001f600 \x01 \x02".split(" ")
+        ),
+        st.text("0123456789. -+()@a\x01\x02", max_size=12),
+    ),
+    max_size=12,
+).map(lambda parts: " ".join(parts) if len(parts) % 2 else "".join(parts))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(PII_TEXT, min_size=60, max_size=80))
+def test_native_patterns_are_the_plain_ones(spark, texts):
+    rows = list(enumerate(texts))
+    base = pii._base(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = {r.doc_id: [tuple(s) for s in r.base] for r in base.collect()}
+    for i, text in rows:
+        assert got[i] == plain_pii(text), text
+
+
+def test_long_runs_are_read_once(spark):
+    texts = ["a." * 200_000, "a" * 300_000, "1" * 300_000, "1." * 150_000, "+1" + " " * 300_000,
+             "x@" + "a." * 100_000 + "b", "+1" * 100_000, "1-" * 150_000]
+    rows = list(enumerate(texts))
+    base = pii._base(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    found = {r.doc_id: r.n for r in base.select("doc_id", F.size("base").alias("n")).collect()}
+    assert [found[i] for i in range(len(texts))] == [0, 0, 0, 37_500, 0, 1, 0, 0]
+
+
+def people(spark):
+    """Ann's address with a telling nickname, and the nickname without the address."""
+    filler = "the of and to a in that it is was for on with as by at from this"
+    rows = [
+        (i, f"{filler} text{i} Wolfhound writes to ann.smith@mail.example.com from the office {filler}")
+        for i in range(5)
+    ]
+    rows += [(10, f"Nobody but wolfhound knew. {filler}"), (11, f"the office was quiet {filler}")]
+    rows += [(100 + i, f"{filler} bob{i}@mail.example.com from the office {filler}") for i in range(40)]
+    rows += [(200 + i, f"{filler} note {i}") for i in range(100)]
+    return frame(spark, rows)
+
+
+def test_disclosing_terms_are_found_everywhere(spark):
+    rows = {r.doc_id: r.spans for r in find_personal_data(people(spark)).select("doc_id", spans_text(F.col("found")).alias("spans")).collect()}
+    assert rows[10] == "term_removed:11:20"
+    assert "term_removed" in rows[0] and "email:" in rows[0]
+    assert rows[11] == "" and rows[200] == ""
+    assert all("term" not in rows[100 + i] for i in range(40))
+
+
+def test_copies_are_not_evidence(spark):
+    """The same text five times says nothing about its words."""
+    text = "Wolfhound writes to ann.smith@mail.example.com from here"
+    rows = [(i, text) for i in range(5)] + [(10 + i, f"something else {i}") for i in range(50)]
+    found = find_personal_data(frame(spark, rows)).select(spans_text(F.col("found")).alias("s"))
+    assert {r.s for r in found.collect()} == {"", joined(plain_pii(text))}
+
+
+def test_personal_data_of_odd_rows(spark):
+    rows = find_personal_data(odd(spark)).collect()
+    assert len(rows) == len(TEXTS)
+    assert all(r.found == [] for r in rows)
+    assert find_personal_data(empty(spark)).collect() == []
+
+
+def test_spans_are_taken_out_of_the_text(spark):
+    docs = people(spark)
+    found = find_personal_data(docs).withColumnRenamed("doc_id", "id")
+    plain = picked(docs, id="doc_id", t="text")
+    out = {r.id: r.out for r in plain.join(found, "id").select("id", apply_spans(F.col("t"), F.col("found")).alias("out")).collect()}
+    assert out[10].startswith("Nobody but  knew.")
+    assert "[EMAIL]" in out[0] and "ann.smith" not in out[0] and "olfhound" not in out[0]
+
+
+LINKED = [
+    ("user = deploy key: q8Zr5LkX2mVt9sWb4NyH", True, True),
+    ("q8Zr5LkX2mVt9sWb4NyH", False, False),
+    ("user = deploy and nothing else", False, False),
+    ("see https://db.example.org/x then q8Zr5LkX2mVt9sWb4NyH", False, True),
+    ("user = deploy\n\nq8Zr5LkX2mVt9sWb4NyH", False, False),
+    ("user = deploy" + " word" * 100 + " q8Zr5LkX2mVt9sWb4NyH", False, False),
+    ("user = deploy password = hunter22", True, False),
+    ("user = deploy https://a.example.org", False, False),
+]
+
+
+def test_weak_parts_count_only_together(spark):
+    rows = list(enumerate(text for text, _, _ in LINKED))
+    got = {r.doc_id: [s.kind for s in r.found] for r in find_secrets(frame(spark, rows)).collect()}
+    for i, (_, has_id, has_secret) in enumerate(LINKED):
+        assert ("linked_id" in got[i], "linked_secret" in got[i]) == (has_id, has_secret), LINKED[i]
+
+
+def test_many_parts_in_one_paragraph_stay_linear(spark):
+    text = "user = deploy q8Zr5LkX2mVt9sWb4NyH " * 5_000
+    (row,) = find_secrets(frame(spark, [(1, text)])).select(F.size("found").alias("n")).collect()
+    assert row.n == 10_000
+
+
+def test_secrets_of_odd_rows(spark):
+    rows = find_secrets(odd(spark)).collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted(str(i) for i, _ in TEXTS)
+    assert find_secrets(empty(spark)).collect() == []
+    # Letters that fold to ASCII ones are not ASCII ones.
+    odd_case = frame(spark, [(1, "paſſword = hunter22"), (2, "PassWord: 'hunter22'"), (3, "toKen=abcdefgh")])
+    got = {r.doc_id: len(r.found) for r in find_secrets(odd_case).collect()}
+    assert got == {1: 0, 2: 1, 3: 0}
