@@ -15,6 +15,7 @@ rates is rewritten, and nothing grows with the corpus but the scan.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,16 +24,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.llm.common import body, filter_pages, flag_members, hold, picked, release, stored
-from tarn.llm.models import fit, labelled_sample
+from tarn.llm.models import fit as fit_classes
+from tarn.llm.models import labelled_sample
 from tarn.llm.ngrams import Featurizer, margin, sigmoid
 
 # Labelled documents that training uses at most, and passes over them.
 MAX_LABELLED = 4_000
 EPOCHS = 3
 FEATURES = {"orders": 1, "shape_orders": 0, "bits": 17}
-# Steps stop here, or when every domain is this close to its target.
+# Steps stop here, when every domain is this close to its target, or when so
+# many steps have not brought the error down by a hundredth.
 MAX_STEPS = 60
 CLOSE = 1e-4
+PATIENCE = 6
 
 POSTERIOR_SCHEMA = "doc_id bigint, n_tokens bigint, posterior array<double>"
 
@@ -47,7 +51,7 @@ def posteriors(
         .where(F.col("label").isin(domains))
     )
     sample = labelled_sample(docs, known, MAX_LABELLED, doc_id, text)
-    weights = docs.sparkSession.sparkContext.broadcast(fit(sample, domains, EPOCHS, FEATURES))
+    weights = docs.sparkSession.sparkContext.broadcast(fit_classes(sample, domains, EPOCHS, FEATURES))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Featurizer(**FEATURES)
@@ -77,28 +81,36 @@ def _matrix(column: pa.Array, domains: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, domains)
 
 
-def _rates(
-    chances: np.ndarray, start: float, steps: list[np.ndarray]
-) -> tuple[np.ndarray, np.ndarray]:
-    """The rates after projected steps, each a vector over the domains, and the
-    point ahead of them from which the next step is taken (momentum)."""
-    rates = before = np.full(len(chances), start)
+@dataclass(frozen=True)
+class Fit:
+    """What makes a document's rate from its posteriors: the rate all start from,
+    the lowest one, and the steps, each a vector over the domains."""
+
+    start: float
+    lowest: float = 0.0
+    steps: tuple[np.ndarray, ...] = ()
+
+
+def _rates(chances: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
+    """The rates after the projected steps, and the point ahead of them from
+    which the next step is taken (momentum)."""
+    rates = before = np.full(len(chances), fit.start)
     ahead = rates
-    for number, step in enumerate(steps, 1):
-        before, rates = rates, np.maximum(0.0, ahead - chances @ step)
+    for number, step in enumerate(fit.steps, 1):
+        before, rates = rates, np.maximum(fit.lowest, ahead - chances @ step)
         ahead = rates + number / (number + 3) * (rates - before)
     return rates, ahead
 
 
-def _expected(members: DataFrame, domains: int, start: float, steps: list[np.ndarray]) -> np.ndarray:
-    """Tokens per domain at the point ahead that ``steps`` lead to."""
+def _expected(members: DataFrame, domains: int, fit: Fit) -> np.ndarray:
+    """Tokens per domain at the point ahead that ``fit`` leads to."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(domains)
         for batch in batches:
             chances = _matrix(batch.column("posterior"), domains)
             tokens = batch.column("n_tokens").to_numpy(zero_copy_only=False)
-            total += (_rates(chances, start, steps)[1] * tokens) @ chances
+            total += (_rates(chances, fit)[1] * tokens) @ chances
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(domains, dtype=np.int32)), pa.array(total)], ["domain", "tokens"]
         )
@@ -143,36 +155,38 @@ def _gram(members: DataFrame, domains: int) -> np.ndarray:
     return found.reshape(domains, domains)
 
 
-def fit_rates(
-    members: DataFrame, shares: np.ndarray, keep_all: bool = False
-) -> tuple[float, list[np.ndarray]]:
-    """The starting rate and the projected gradient steps for ``members``.
+def fit_rates(members: DataFrame, shares: np.ndarray, keep_all: bool = False) -> Fit:
+    """Projected gradient steps for ``members`` towards ``shares``.
 
-    The targets are ``shares`` of the corpus's tokens, or with ``keep_all`` of
-    as many tokens as the most over-represented domain needs to stay whole.
+    The targets are ``shares`` of the corpus's tokens, and rates are at least
+    zero; with ``keep_all`` they are shares of as many tokens as the most
+    over-represented domain needs to stay whole, and rates are at least one.
     A document's step is weighted by one over its tokens, and residuals by the
     inverse of the posteriors' products. Under these weights the problem has
     curvature one, so the step length is one and few steps are needed. Targets
     that no rates can meet are met as nearly as these weights say.
     """
     domains = len(shares)
-    plain = _expected(members, domains, 1.0, [])
+    plain = _expected(members, domains, Fit(1.0))
     total = plain.sum()
     if not total:
-        return 1.0, []
+        return Fit(1.0)
     if keep_all:
         total = max(m / w for m, w in zip(plain, shares, strict=True) if w > 0)
     targets = shares * total
     gram = _gram(members, domains)
     weights = np.linalg.inv(gram + 1e-6 * np.trace(gram) * np.eye(domains))
-    start = total / plain.sum()
-    steps: list[np.ndarray] = []
-    for _ in range(MAX_STEPS):
-        residual = _expected(members, domains, start, steps) - targets
+    fit = Fit(total / plain.sum(), 1.0 if keep_all else 0.0)
+    errors: list[float] = []
+    while len(fit.steps) < MAX_STEPS:
+        residual = _expected(members, domains, fit) - targets
         if np.all(np.abs(residual) <= CLOSE * np.maximum(targets, total * 1e-3)):
             break
-        steps.append(weights @ residual)
-    return start, steps
+        errors.append(float(residual @ weights @ residual))
+        if len(errors) > PATIENCE and min(errors[-PATIENCE:]) > 0.99 * min(errors[:-PATIENCE]):
+            break
+        fit = replace(fit, steps=(*fit.steps, weights @ residual))
+    return fit
 
 
 def mixing_rates(
@@ -198,11 +212,11 @@ def mixing_rates(
     names = list(targets)
     shares = np.array([targets[name] for name in names], float)
     members = stored(posteriors(docs, labelled, names, doc_id, text))
-    start, steps = fit_rates(members, shares / shares.sum(), keep_all)
+    fit = fit_rates(members, shares / shares.sum(), keep_all)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rates, _ = _rates(_matrix(batch.column("posterior"), len(names)), start, steps)
+            rates, _ = _rates(_matrix(batch.column("posterior"), len(names)), fit)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(rates)], [*batch.schema.names, "rate"]
             )
