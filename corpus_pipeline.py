@@ -4,6 +4,12 @@ Low-quality documents go, then exact copies, then near copies; the rest is
 mixed to language targets by repeating documents of scarce languages, and
 packed. Every stage but the last returns the columns of ``documents``; between
 stages the rows are written to the shared folder and read again.
+
+Null texts are empty ones, and empty tables stay empty. A row with a null id is
+scored and packed like any other; it is a copy of an equal text with an id, is
+kept by the near-copy stage, and is used once in the mixture. Rows that repeat
+both id and text count as one document from the second stage on. Further columns
+of ``documents`` pass through.
 """
 
 from __future__ import annotations
@@ -39,7 +45,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least about once, those of scarce languages more often."""
+    """Every document at least once, those of scarce languages more often."""
     labelled = labelled_languages(spark, sf_dir)
     return mix(docs, labelled, LANGUAGE_TARGETS, keep_all=True)
 
