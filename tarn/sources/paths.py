@@ -51,6 +51,8 @@ def listed_bytes(spark: SparkSession, path: str | list[str]) -> int:
 def scratch_folder(spark: SparkSession) -> str:
     """A new, unused folder that every executor can reach.
 
+    All of an application's lie in one folder named after it, which can go when
+    nothing that the application returned is read any more.
     It lies under the shared folder the cluster names in
     ``spark.checkpoint.dir``. A machine-local folder is used only by a
     local-mode session that names none, as in tests.
@@ -60,4 +62,5 @@ def scratch_folder(spark: SparkSession) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {SHARED_FOLDER_CONF} to a folder all executors share")
         shared = tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/tarn-{uuid.uuid4().hex}"
+    application = spark.conf.get("spark.app.id", "session")
+    return f"{shared.rstrip('/')}/tarn-{application}/{uuid.uuid4().hex}"
