@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm.chat import format_chat, read_back
+from tarn.llm.chat import CONTROL_STRINGS, format_chat, read_back
 from tarn.llm.common import body, table
 from tarn.llm.exact_dedup import exact_groups
 from tarn.llm.html_text import extract_text
@@ -108,7 +108,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 
+# A control string's opening bracket, backslashes and tail, as in tarn.llm.chat.
+ESCAPED_SQL = r"[<\[]\\*(?:\||/?s>|/?INST\]|<SYS>>|</SYS>>)"
+
 ORACLES: dict[str, str] = {
+    "op7_chat_formatting": rf"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        loss AS (
+            SELECT conv_id,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS turns,
+                   coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')
+                       AS loss,
+                   count(*) AS n_turns,
+                   CAST(sum({len("".join(CONTROL_STRINGS))} + length(role) + length(text)
+                       + len(regexp_extract_all(role, '{ESCAPED_SQL}'))
+                       + len(regexp_extract_all(text, '{ESCAPED_SQL}'))) AS BIGINT)
+                       AS formatted_chars
+            FROM turns GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+               sha256(loss) AS loss_sha256, formatted_chars
+        FROM loss""",
     "op8_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
