@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarn.llm.common import body, picked
+from tarn.llm.common import body, picked, values
 from tarn.llm.tokens import vocabulary
 
 # The template's control strings, in the order of their ids above
@@ -61,7 +61,7 @@ def _encoded(rows: DataFrame, path: str, loss_role: str) -> DataFrame:
         for batch in batches:
             ids, figures = [], []
             for role, text in zip(
-                batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True
+                values(batch.column("role")), values(batch.column("text")), strict=True
             ):
                 safe_role, safe_text = escape(role), escape(text)
                 role_ids, text_ids = words.ids(safe_role), words.ids(safe_text)

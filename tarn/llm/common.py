@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,11 @@ def body(column: str) -> Column:
     return F.coalesce(field(column).cast("string"), F.lit(""))
 
 
+def values(column: pa.Array) -> Iterator:
+    """A column's values one by one: a batch of long texts is not copied at once."""
+    return (value.as_py() for value in column)
+
+
 def picked(df: DataFrame, **names: str) -> DataFrame:
     """Columns of ``df`` by their exact names, under new ones.
 

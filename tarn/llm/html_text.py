@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import body, picked
+from tarn.llm.common import body, picked, values
 
 # Element names by their role in a page.
 VOID = frozenset(
@@ -371,7 +371,7 @@ def extract_text(
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page) for page in batch.column("page").to_pylist()]
+            texts = [main_text(page) for page in values(batch.column("page"))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("page_id"),

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarn.llm.common import body, filter_pages, flag_members, hold, picked, release, stored
+from tarn.llm.common import body, filter_pages, flag_members, hold, picked, release, stored, values
 from tarn.llm.models import fit as fit_classes
 from tarn.llm.models import labelled_sample
 from tarn.llm.ngrams import Featurizer, margin, sigmoid
@@ -57,7 +57,7 @@ def posteriors(
         maker = Featurizer(**FEATURES)
         for batch in batches:
             tokens, rows = [], []
-            for content in batch.column("text").to_pylist():
+            for content in values(batch.column("text")):
                 buckets, n = maker.of(content)
                 chances = np.array([sigmoid(margin(w, buckets)) for w in weights.value])
                 tokens.append(n)

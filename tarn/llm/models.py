@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarn.llm.common import body, hold, picked, stored
+from tarn.llm.common import body, hold, picked, stored, values
 from tarn.llm.ngrams import BITS, Featurizer, counted, train
 
 
@@ -47,13 +47,13 @@ def fit(sample: DataFrame, classes: Sequence, epochs: int, featurizer: dict) ->
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Featurizer(**featurizer)
         for batch in batches:
-            pairs = [counted(maker.of(text)[0]) for text in batch.column("text").to_pylist()]
+            pairs = [counted(maker.of(text)[0]) for text in values(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     batch.column("label"),
                     pa.array([p[0] for p in pairs], pa.list_(pa.int32())),
-                    pa.array([p[1] for p in pairs], pa.list_(pa.float64())),
+                    pa.array([p[1].astype(np.float32) for p in pairs], pa.list_(pa.float32())),
                 ],
                 ["id", "label", "buckets", "shares"],
             )
@@ -61,7 +61,7 @@ def fit(sample: DataFrame, classes: Sequence, epochs: int, featurizer: dict) ->
     kind = sample.schema["label"].dataType.simpleString()
     made = stored(
         sample.select("id", "label", "text").mapInArrow(
-            featurize, f"id bigint, label {kind}, buckets array<int>, shares array<double>"
+            featurize, f"id bigint, label {kind}, buckets array<int>, shares array<float>"
         )
     )
 
@@ -93,7 +93,7 @@ def fit(sample: DataFrame, classes: Sequence, epochs: int, featurizer: dict) ->
 
 
 def with_columns_of(
-    docs: DataFrame, text: str, columns: T.StructType, make: Callable[[], Callable[[list[str]], list[pa.Array]]]
+    docs: DataFrame, text: str, columns: T.StructType, make: Callable[[], Callable[[Iterator[str]], list[pa.Array]]]
 ) -> DataFrame:
     """``docs`` with ``columns`` computed from the text, a batch at a time.
 
@@ -112,7 +112,7 @@ def with_columns_of(
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            made = compute(batch.column("_text").to_pylist())
+            made = compute(values(batch.column("_text")))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *made], [f.name for f in schema.fields]
             )

@@ -16,7 +16,9 @@ BITS = 18
 CONSTANT = 0
 
 TOKENS = re.compile(r"\w+|[^\w\s]+")
-KNOWN_TOKENS = 300_000
+# Tokens that a worker remembers, with hash and shape: about 40 MB.
+KNOWN_TOKENS = 150_000
+_known: dict[str, tuple[int, int]] = {}
 
 # How a token looks, as the word of a second sequence.
 SHAPES = {"repeat": 1, "digits": 2, "mixed digits": 3, "upper": 4, "title": 5, "lower": 6}
@@ -39,19 +41,19 @@ def _shape(token: str) -> int:
     return SHAPES["title"] if token[0].isupper() else SHAPES["lower"]
 
 
+def _remember(token: str) -> tuple[int, int]:
+    pair = (xxhash.xxh3_64_intdigest(token.lower().encode("utf-8", "replace")), _shape(token))
+    if len(_known) < KNOWN_TOKENS:
+        _known[token] = pair
+    return pair
+
+
 class Featurizer:
-    """Texts to hashed n-gram buckets, with a memory for frequent tokens."""
+    """Texts to hashed n-gram buckets."""
 
     def __init__(self, orders: int = 2, shape_orders: int = 3, bits: int = BITS):
         self.orders, self.shape_orders = orders, shape_orders
         self.shift = np.uint64(64 - bits)
-        self.known: dict[str, tuple[int, int]] = {}
-
-    def _token(self, token: str) -> tuple[int, int]:
-        pair = (xxhash.xxh3_64_intdigest(token.lower().encode("utf-8", "replace")), _shape(token))
-        if len(self.known) < KNOWN_TOKENS:
-            self.known[token] = pair
-        return pair
 
     def of(self, text: str) -> tuple[np.ndarray, int]:
         """The bucket of every n-gram occurrence, and the number of tokens.
@@ -63,8 +65,7 @@ class Featurizer:
         tokens = TOKENS.findall(text)
         if not tokens:
             return np.zeros(0, np.int64), 0
-        known = self.known
-        pairs = [known.get(token) or self._token(token) for token in tokens]
+        pairs = [_known.get(token) or _remember(token) for token in tokens]
         both = np.array(pairs, np.uint64)
         words, shapes = both[:, 0], both[:, 1].copy()
         shapes[1:][words[1:] == words[:-1]] = SHAPES["repeat"]

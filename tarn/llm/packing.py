@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarn.llm.common import body, picked, stored
+from tarn.llm.common import body, picked, stored, values
 from tarn.llm.tokens import vocabulary
 
 SEQUENCE_TOKENS = 2048
@@ -54,7 +54,7 @@ def pieces(
         for batch in batches:
             rows: list[tuple] = []
             cut: list[np.ndarray] = []
-            texts = batch.column("text").to_pylist()
+            texts = values(batch.column("text"))
             for owner, content in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
                 ids = np.append(words.ids(content), np.array([END_ID], "<u4"))
                 first = len(ids) % capacity or capacity

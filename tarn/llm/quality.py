@@ -9,6 +9,8 @@ never features.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -20,7 +22,7 @@ from tarn.llm.models import fit, labelled_sample, with_columns_of
 from tarn.llm.ngrams import Featurizer, margin, sigmoid
 
 # Labelled documents that training uses at most, and passes over them.
-MAX_LABELLED = 12_000
+MAX_LABELLED = 6_000
 EPOCHS = 4
 THRESHOLD = 0.7
 FEATURES = {"orders": 2, "shape_orders": 3}
@@ -64,7 +66,7 @@ def score_quality(docs: DataFrame, weights: np.ndarray, text: str = "text") -> D
     def make():
         maker, own = Featurizer(**FEATURES), shared.value
 
-        def scores(texts: list[str]) -> list[pa.Array]:
+        def scores(texts: Iterator[str]) -> list[pa.Array]:
             return [pa.array([sigmoid(margin(own, maker.of(text)[0])) for text in texts], pa.float64())]
 
         return scores

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarn.llm.common import body, picked, stored
+from tarn.llm.common import body, picked, stored, values
 from tarn.llm.spans import SPANS_TYPE, no_spans
 
 # Kinds in the order of ties. The first three are the base.
@@ -158,11 +158,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        base = [base_spans(text) for text in batch.column("text").to_pylist()]
-        linked = [
-            credential_parts(text, found)
-            for text, found in zip(batch.column("text").to_pylist(), base, strict=True)
-        ]
+        base, linked = [], []
+        for text in values(batch.column("text")):
+            base.append(base_spans(text))
+            linked.append(credential_parts(text, base[-1]))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(range(key, key + len(base)), pa.int64()),

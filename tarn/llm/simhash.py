@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.functions import field
-from tarn.llm.common import body, picked, stored, without_ids
+from tarn.llm.common import body, picked, stored, values, without_ids
 from tarn.llm.components import connected_components
 
 # The operator's contract.
@@ -70,7 +70,7 @@ def fingerprint(text: bytes) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.fromiter(
-            (fingerprint(text) for text in batch.column("text").to_pylist()),
+            (fingerprint(text) for text in values(batch.column("text"))),
             np.uint64,
             batch.num_rows,
         )

@@ -25,8 +25,8 @@ CHUNKS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 
 # Chunks a worker remembers: the first ones it meets, which are mostly the
-# frequent ones. About 100 MB.
-CACHED_CHUNKS = 400_000
+# frequent ones. About 60 MB.
+CACHED_CHUNKS = 250_000
 CACHED_LENGTH = 64
 
 
