@@ -26,25 +26,30 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import body, picked, stored
+from tarn.llm.common import body, picked, stored, values
 
 # The band: shares of the documents that hold a term.
 LOW = 0.0004
 HIGH = 0.2
 # Random subsets per rate, and rates: 1/2, 1/4, ...
-COPIES = 8
+COPIES = 16
 LEVELS = 10
 # A level says something of two texts if they have terms in so many subsets.
-LEAST_SUBSETS = 4
-COPY_SEEDS = [xxhash.xxh3_64_intdigest(str(copy)) for copy in range(COPIES)]
+LEAST_SUBSETS = 8
+COPY_SEEDS = np.array([xxhash.xxh3_64_intdigest(str(copy)) for copy in range(COPIES)], np.uint64)
+# How many of the rarest levels a subset takes, for each rate.
+RANKS = LEVELS - 1 - np.arange(LEVELS)
 HASH_DIGITS = 4
+HEX = [f"{value:04x}" for value in range(1 << 4 * HASH_DIGITS)]
 EMPTY = "0" * HASH_DIGITS
 
 # Distinct terms that a task counts before it sends its counts on, and words a
 # worker remembers.
 HELD_TERMS = 400_000
-# Partitions of the corpus in id order.
-RANGES_PER_MILLION = 40
+# Ranges of the corpus in id order: per shuffle partition, so that their loads
+# even out, and per million documents at least.
+RANGES_PER_PARTITION = 4
+RANGES_PER_MILLION = 160
 
 WORDS = re.compile(r"\w+")
 
@@ -67,7 +72,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        for text in batch.column("text").to_pylist():
+        for text in values(batch.column("text")):
             counts.update(set(WORDS.findall(text.lower())))
             if len(counts) >= HELD_TERMS:
                 yield out()
@@ -95,24 +100,26 @@ def lexicon(
     return np.sort(kept.toArrow().column("term").to_numpy())
 
 
+class Known(dict):
+    """Maps a word to its hash if it is in the lexicon; remembers the first it meets."""
+
+    def __init__(self, terms: np.ndarray):
+        super().__init__()
+        self.terms = frozenset(terms.tolist())
+
+    def __missing__(self, word: str) -> int | None:
+        value = term_hash(word)
+        found = value if value in self.terms else None
+        if len(self) < HELD_TERMS:
+            self[word] = found
+        return found
+
+
 class Fingerprints:
-    """Fingerprints of texts under one lexicon, with a memory for frequent words."""
+    """Fingerprints of texts under one lexicon."""
 
     def __init__(self, terms: np.ndarray):
-        self.terms = terms
-        self.known: dict[str, int | None] = {}
-
-    def _term(self, word: str) -> int | None:
-        """The word's hash if it is in the lexicon."""
-        try:
-            return self.known[word]
-        except KeyError:
-            value = term_hash(word)
-            at = int(np.searchsorted(self.terms, value))
-            found = value if at < len(self.terms) and self.terms[at] == value else None
-            if len(self.known) < HELD_TERMS:
-                self.known[word] = found
-            return found
+        self.known = Known(terms)
 
     def of(self, text: str) -> str:
         """Hashes of the whole lexicon and of every subset, each four hex digits.
@@ -121,19 +128,21 @@ class Fingerprints:
         in the lexicon is hashed by all its terms.
         """
         words = set(WORDS.findall(text.lower()))
-        hashes = [h for h in map(self._term, words) if h is not None]
+        hashes = [h for h in map(self.known.__getitem__, words) if h is not None]
         if not hashes:
             hashes = [term_hash(word) for word in words]
         terms = np.sort(np.array(hashes, np.int64)).view(np.uint64)
-        parts = [_hash_terms(terms)]
-        for copy in range(COPIES):
-            # A term is in the subset of rate 1 / 2**n if n low bits are zero.
-            mixed = _mix(terms ^ np.uint64(COPY_SEEDS[copy]))
-            held = terms
-            for level in range(LEVELS):
-                inside = (mixed >> np.uint64(level)) & np.uint64(1) == 0
-                held, mixed = held[inside], mixed[inside]
-                parts.append(_hash_terms(held))
+        # A term is in a copy's subset of rate 1 / 2**n if n low bits are zero.
+        mixed = _mix(terms[None, :] ^ COPY_SEEDS[:, None])
+        zeros = np.bitwise_count((mixed & -mixed) - np.uint64(1))
+        # Rarest first and then by hash: each subset is a run from the start.
+        rank = (LEVELS - np.minimum(zeros, LEVELS)).astype(np.uint8)
+        ordered = terms[np.argsort(rank, axis=1, kind="stable")]
+        sizes = (rank[:, None, :] <= RANKS[None, :, None]).sum(axis=2).tolist()
+        parts = [_hash_terms(terms.tobytes())]
+        for row, ends in zip(ordered, sizes, strict=True):
+            held = row.tobytes()
+            parts += [_hash_terms(held[: 8 * end]) for end in ends]
         return "".join(parts)
 
 
@@ -144,11 +153,10 @@ def _mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
-def _hash_terms(terms: np.ndarray) -> str:
-    if not len(terms):
+def _hash_terms(terms: bytes) -> str:
+    if not terms:
         return EMPTY
-    value = xxhash.xxh3_64_intdigest(terms.tobytes()) % 0xFFFF + 1
-    return f"{value:04x}"
+    return HEX[xxhash.xxh3_64_intdigest(terms) % 0xFFFF + 1]
 
 
 def likeness(one: str, other: str) -> float:
@@ -177,7 +185,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = Fingerprints(terms.value)
         for batch in batches:
-            found = [prints.of(content) for content in batch.column("text").to_pylist()]
+            found = [prints.of(content) for content in values(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found, pa.string())], ["doc_id", "fingerprint"]
             )
@@ -222,10 +230,8 @@ def _in_id_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
     ids = picked(docs, doc_id=doc_id).select(key.alias("id_key"))
     total = ids.count()
-    ranges = max(
-        8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-        total * RANGES_PER_MILLION // 1_000_000,
-    )
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(partitions * RANGES_PER_PARTITION, total * RANGES_PER_MILLION // 1_000_000)
     shares = [n / ranges for n in range(1, ranges)]
     found = ids.agg(F.percentile_approx("id_key", shares, 20 * ranges)).first()[0]
     cuts = sorted(set(found or []))
@@ -257,7 +263,7 @@ def _in_id_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     dealt = placed.select(F.explode(spots).alias("spot"), "id_key", "tie", "doc_id", "text")
     return (
         dealt.select("spot.bucket", "spot.place", "id_key", "tie", "doc_id", "text")
-        .repartition(len(order) or 1, "bucket")
+        .repartition(max(1, len(order) // RANGES_PER_PARTITION), "bucket")
         .sortWithinPartitions("bucket", "place", "id_key", "tie")
         .select("bucket", "place", "doc_id", "text")
     )
@@ -288,7 +294,7 @@ def edit_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         for batch in batches:
             rows = []
             for bucket, place, owner, content in zip(
-                *(batch.column(i).to_pylist() for i in range(4)), strict=True
+                *(values(batch.column(i)) for i in range(4)), strict=True
             ):
                 own = prints.of(content)
                 if held is not None and held[0] == bucket:
