@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from tarn.functions import field
 from tarn.sources import scratch_folder
 
+BATCH_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1_000
+
 # Slots of a membership filter: 8 MiB when every page is in use.
 FILTER_SLOTS = 1 << 26
 
@@ -29,12 +32,23 @@ def values(column: pa.Array) -> Iterator:
     return (value.as_py() for value in column)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Hand Python workers few texts at a time, unless the session says how many.
+
+    The default of 10,000 rows is some 100 MB of long texts per worker, and as
+    much again in the JVM.
+    """
+    if spark.conf.get(BATCH_ROWS_CONF, None) is None:
+        spark.conf.set(BATCH_ROWS_CONF, BATCH_ROWS)
+
+
 def picked(df: DataFrame, **names: str) -> DataFrame:
     """Columns of ``df`` by their exact names, under new ones.
 
     Other columns don't matter, not even ones that differ by case only.
     """
     held = hold(df)
+    bound_batches(df.sparkSession)
     return held.select(
         *[F.col(f"_c{df.columns.index(old)}").alias(new) for new, old in names.items()]
     )

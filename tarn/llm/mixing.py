@@ -33,7 +33,7 @@ MAX_LABELLED = 4_000
 EPOCHS = 3
 FEATURES = {"orders": 1, "shape_orders": 0, "bits": 17}
 # Steps stop here, when every domain is this close to its target, or when so
-# many steps have not brought the error down by a hundredth.
+# many steps have not brought the error down by a tenth.
 MAX_STEPS = 60
 CLOSE = 1e-4
 PATIENCE = 6
@@ -51,7 +51,9 @@ def posteriors(
         .where(F.col("label").isin(domains))
     )
     sample = labelled_sample(docs, known, MAX_LABELLED, doc_id, text)
-    weights = docs.sparkSession.sparkContext.broadcast(fit_classes(sample, domains, EPOCHS, FEATURES))
+    weights = docs.sparkSession.sparkContext.broadcast(
+        fit_classes(sample, domains, EPOCHS, FEATURES)
+    )
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Featurizer(**FEATURES)
@@ -183,7 +185,7 @@ def fit_rates(members: DataFrame, shares: np.ndarray, keep_all: bool = False) ->
         if np.all(np.abs(residual) <= CLOSE * np.maximum(targets, total * 1e-3)):
             break
         errors.append(float(residual @ weights @ residual))
-        if len(errors) > PATIENCE and min(errors[-PATIENCE:]) > 0.99 * min(errors[:-PATIENCE]):
+        if len(errors) > PATIENCE and min(errors[-PATIENCE:]) > 0.9 * min(errors[:-PATIENCE]):
             break
         fit = replace(fit, steps=(*fit.steps, weights @ residual))
     return fit

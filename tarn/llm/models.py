@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarn.llm.common import body, hold, picked, stored, values
+from tarn.llm.common import body, bound_batches, hold, picked, stored, values
 from tarn.llm.ngrams import BITS, Featurizer, counted, train
 
 
@@ -93,7 +93,10 @@ def fit(sample: DataFrame, classes: Sequence, epochs: int, featurizer: dict) ->
 
 
 def with_columns_of(
-    docs: DataFrame, text: str, columns: T.StructType, make: Callable[[], Callable[[Iterator[str]], list[pa.Array]]]
+    docs: DataFrame,
+    text: str,
+    columns: T.StructType,
+    make: Callable[[], Callable[[Iterator[str]], list[pa.Array]]],
 ) -> DataFrame:
     """``docs`` with ``columns`` computed from the text, a batch at a time.
 
@@ -101,6 +104,7 @@ def with_columns_of(
     Rows keep all their columns, whatever their names, and are not shuffled.
     New columns replace ones of the same name.
     """
+    bound_batches(docs.sparkSession)
     kept = {i: n for i, n in enumerate(docs.columns) if n not in columns.fieldNames()}
     held = hold(docs).select(
         *[f"_c{i}" for i in kept], body(f"_c{docs.columns.index(text)}").alias("_text")
