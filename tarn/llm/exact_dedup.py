@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.functions import field
-from tarn.llm.common import body, filter_pages, flag_members, hold, picked, release
+from tarn.llm.common import body, filter_pages, flag_members, hold, picked, release, stored
 
 # Code points of the prefix that is hashed first.
 PREFIX = 256
@@ -42,9 +42,11 @@ def _groups(refined: DataFrame, doc_id: str) -> DataFrame:
     """Per repeated text: the id that stays, its rows, and all rows.
 
     Counts per id come first, so that a text filling a third of the table is
-    spread over its ids before it meets in one row.
+    spread over its ids before it meets in one row. The groups are a written
+    table: as such Spark knows their size, and can broadcast them if they are
+    small or split a hot text's rows if they are not.
     """
-    return (
+    return stored(
         refined.where("_may_repeat")
         .groupBy("_size", "_full", field(doc_id).alias("_id"))
         .agg(F.count("*").alias("_rows"))
