@@ -54,5 +54,7 @@ def _large_star(star: DataFrame) -> DataFrame:
 def _small_star(star: DataFrame) -> DataFrame:
     """Connect a node and its smaller neighbours to the least of them."""
     least = star.groupBy("u").agg(F.min("v").alias("m"))
-    moved = star.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = star.join(least, "u").where("v <> m").select(
+        F.col("v").alias("u"), F.col("m").alias("v")
+    )
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()

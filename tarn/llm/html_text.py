@@ -27,7 +27,8 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes plainte
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li "
-    "main menu nav ol p pre search section summary table tbody td tfoot th thead title tr ul".split()
+    "main menu nav ol p pre search section summary table tbody td tfoot th thead title tr "
+    "ul".split()
 )
 DROPPED = frozenset(
     "applet aside audio button canvas datalist dialog embed footer form frame frameset head "
@@ -72,7 +73,8 @@ LEVELS = 5
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 INSIDE = re.compile(r"(?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+")
 ATTRIBUTE = re.compile(
-    r"(class|id|role|style|hidden|aria-hidden)\b(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?",
+    r"(class|id|role|style|hidden|aria-hidden)\b"
+    r"(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?",
     re.IGNORECASE,
 )
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -81,7 +83,8 @@ INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNOREC
 
 class Node:
     __slots__ = (
-        "tag", "parent", "kids", "words", "unseen", "score", "chars", "linked", "in_article", "holds",
+        "tag", "parent", "kids", "words", "unseen", "score", "chars", "linked", "in_article",
+        "holds",
     )
 
     def __init__(self, tag: str, parent: Node | None):

@@ -78,7 +78,8 @@ class Featurizer:
             for n in range(orders):
                 if n >= len(sequence):
                     break
-                grams = _mix(grams[: len(sequence) - n] * np.uint64(0x2545F4914F6CDD1D) + sequence[n:])
+                before = grams[: len(sequence) - n] * np.uint64(0x2545F4914F6CDD1D)
+                grams = _mix(before + sequence[n:])
                 found.append(grams >> self.shift)
         return np.concatenate(found).astype(np.int64), len(tokens)
 
@@ -112,7 +113,12 @@ class FollowTheRegularizedLeader:
     """FTRL-proximal for logistic loss: per-coordinate rates, L1 and L2."""
 
     def __init__(
-        self, bits: int = BITS, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.1
+        self,
+        bits: int = BITS,
+        alpha: float = 1.0,
+        beta: float = 1.0,
+        l1: float = 0.02,
+        l2: float = 0.1,
     ):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(1 << bits), np.zeros(1 << bits)

@@ -67,7 +67,8 @@ def score_quality(docs: DataFrame, weights: np.ndarray, text: str = "text") -> D
         maker, own = Featurizer(**FEATURES), shared.value
 
         def scores(texts: Iterator[str]) -> list[pa.Array]:
-            return [pa.array([sigmoid(margin(own, maker.of(text)[0])) for text in texts], pa.float64())]
+            found = [sigmoid(margin(own, maker.of(text)[0])) for text in texts]
+            return [pa.array(found, pa.float64())]
 
         return scores
 

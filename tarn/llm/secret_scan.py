@@ -42,7 +42,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 
 # Parts that count only together.
 ENDPOINT = re.compile(
-    r"""\b(?:https?|ftps?|s3|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?|jdbc:[a-z]+)://[^\s"'<>]+"""
+    r"""\b(?:https?|ftps?|s3|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?|jdbc:[a-z]+)"""
+    r"""://[^\s"'<>]+"""
     r"""|\b(?:host(?:name)?|endpoint|server|url|uri)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.:/_-]+""",
     re.IGNORECASE | re.ASCII,
 )
@@ -139,9 +140,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key = TaskContext.get().partitionId() << 40
     spans = pa.list_(
         pa.struct(
-            [("start", pa.int64()), ("rank", pa.int32()), ("kind", pa.string()), ("end", pa.int64())]
+            [
+                ("start", pa.int64()), ("rank", pa.int32()),
+                ("kind", pa.string()), ("end", pa.int64()),
+            ]
         )
-    )
+    )
     parts = pa.list_(
         pa.struct(
             [
@@ -190,9 +194,12 @@ def _linked(scanned: DataFrame) -> DataFrame:
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     after = ordered.rowsBetween(1, Window.unboundedFollowing)
     near = {role: _near(role, before, after) for role in ("id", "secret", "endpoint")}
-    complete = F.when(F.col("role") == "id", near["secret"]).otherwise(near["id"] | near["endpoint"])
-    kind = F.when(F.col("role") == "id", F.lit("linked_id")).otherwise(F.lit("linked_secret"))
-    rank = F.when(F.col("role") == "id", F.lit(3)).otherwise(F.lit(4))
+    is_id = F.col("role") == "id"
+    complete = F.when(is_id, near["secret"]).otherwise(near["id"] | near["endpoint"])
+    kind = F.when(is_id, F.lit("linked_id")).otherwise(F.lit("linked_secret"))
+    rank = F.when(is_id, F.lit(KINDS.index("linked_id"))).otherwise(
+        F.lit(KINDS.index("linked_secret"))
+    )
     span = F.struct("start", rank.alias("rank"), kind.alias("kind"), "end")
     return (
         parts.withColumn("complete", complete)

@@ -165,7 +165,9 @@ def _finer_keys(key: int, prints: np.ndarray) -> np.ndarray:
 OUT = pa.schema([("key", pa.int64()), ("print", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
-def _scan_shards(most: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scan_shards(
+    most: int | None,
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows sorted by key to links ``(null, null, a, b)``.
 
     Members of a shard of more than ``most`` leave as ``(finer key, print, id,

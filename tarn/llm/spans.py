@@ -21,7 +21,9 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(
         F.transform(
             F.array_sort(spans),
-            lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+            lambda s: F.concat_ws(
+                ":", s["kind"], s["start"].cast("string"), s["end"].cast("string")
+            ),
         ),
         ",",
     )
