@@ -78,9 +78,8 @@ def _matches(clean: Column, pattern: str) -> Column:
         F.char_length(pieces[0]).cast("bigint").alias("at"), F.array().cast(kind).alias("found")
     )
     rest = F.slice(pieces, F.lit(2), F.size(pieces))
-    return F.when(clean.rlike(pattern), F.aggregate(rest, start, step, lambda s: s["found"])).otherwise(
-        F.array().cast(kind)
-    )
+    found = F.aggregate(rest, start, step, lambda s: s["found"])
+    return F.when(clean.rlike(pattern), found).otherwise(F.array().cast(kind))
 
 
 def _luhn(digits: Column) -> Column:
@@ -158,7 +157,8 @@ def _base(docs: DataFrame) -> DataFrame:
     def around(match: Column) -> Column:
         # Words cut by the context's outer edges are not terms of it.
         left_at = F.greatest(match["start"] - CONTEXT, F.lit(0))
-        left = F.substring(F.col("clean"), (left_at + 1).cast("int"), (match["start"] - left_at).cast("int"))
+        size = (match["start"] - left_at).cast("int")
+        left = F.substring(F.col("clean"), (left_at + 1).cast("int"), size)
         left = F.when(left_at > 0, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left)
         right = F.substring(F.col("clean"), (match["end"] + 1).cast("int"), F.lit(CONTEXT))
         right = F.when(
@@ -167,7 +167,9 @@ def _base(docs: DataFrame) -> DataFrame:
         words = F.regexp_extract_all(F.lower(F.concat_ws(" ", left, right)), F.lit(TERM), F.lit(0))
         return F.transform(
             F.array_distinct(words),
-            lambda word: F.struct(F.xxhash64(F.lower(match["value"])).alias("value"), word.alias("term")),
+            lambda word: F.struct(
+                F.xxhash64(F.lower(match["value"])).alias("value"), word.alias("term")
+            ),
         )
 
     matches = F.concat(*[F.col(kind) for kind in BASE_KINDS])
@@ -216,7 +218,9 @@ def _carriers(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return known.join(terms, "term", "left_semi").select("doc_id", "text_hash", "term")
 
 
-def disclosing_terms(candidates: DataFrame, carriers: DataFrame, values: DataFrame, total: int) -> DataFrame:
+def disclosing_terms(
+    candidates: DataFrame, carriers: DataFrame, values: DataFrame, total: int
+) -> DataFrame:
     """``(term, kind)`` for every candidate above the thresholds.
 
     A term that discloses several values counts by the one it discloses most.
@@ -295,7 +299,8 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         .groupBy("value")
         .agg(F.count("*").alias("documents"))
     )
-    disclosing = disclosing_terms(candidates, carriers, values, found.count())
+    # A written table, so that a term of many documents can be split or broadcast.
+    disclosing = stored(disclosing_terms(candidates, carriers, values, found.count()))
     owned = stored(
         carriers.join(disclosing, "term")
         .distinct()
@@ -322,9 +327,8 @@ def apply_spans(text: Column, spans: Column) -> Column:
     in brackets, removed terms leave nothing."""
 
     def step(state: Column, span: Column) -> Column:
-        before = F.substring(
-            text, (state["at"] + 1).cast("int"), F.greatest(span["start"] - state["at"], F.lit(0)).cast("int")
-        )
+        size = F.greatest(span["start"] - state["at"], F.lit(0)).cast("int")
+        before = F.substring(text, (state["at"] + 1).cast("int"), size)
         label = F.when(span["kind"] == "term_removed", F.lit("")).when(
             span["kind"] == "term_generalised", F.lit("[TERM]")
         ).otherwise(F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))
@@ -335,5 +339,9 @@ def apply_spans(text: Column, spans: Column) -> Column:
         )
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    end = lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.char_length(text)))
+
+    def end(state: Column) -> Column:
+        rest = F.substring(text, (state["at"] + 1).cast("int"), F.char_length(text))
+        return F.concat(state["out"], rest)
+
     return F.aggregate(spans, start, step, end)
