@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.llm.common import body, bound_batches, hold, picked, stored, values
-from tarn.llm.ngrams import BITS, Featurizer, counted, train
+from tarn.llm.ngrams import BITS, Featurizer, FollowTheRegularizedLeader, counted
 
 
 def labelled_sample(
@@ -39,8 +39,9 @@ def labelled_sample(
 def fit(sample: DataFrame, classes: Sequence, epochs: int, featurizer: dict) -> np.ndarray:
     """One row of FTRL weights per class of ``sample.label``, that class against the rest.
 
-    Features are made where the texts lie; one task then streams through the
-    sample, whose size its bound limits. Only weights come to the driver.
+    Features are made once, where the texts lie, and stored. An epoch is one task
+    that streams through them, a batch at a time, from where the epoch before
+    left the models; only the models' state comes to the driver.
     """
     bits = featurizer.get("bits", BITS)
 
@@ -65,31 +66,42 @@ def fit(sample: DataFrame, classes: Sequence, epochs: int, featurizer: dict) ->
         )
     )
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for batch in batches:
-            buckets, shares = batch.column("buckets"), batch.column("shares")
-            for n, label in enumerate(batch.column("label").to_pylist()):
-                rows.append((buckets[n].values.to_numpy(), shares[n].values.to_numpy(), label))
-        for number, value in enumerate(classes):
-            weights = train(((b, s, float(y == value)) for b, s, y in rows), epochs, bits)
-            used = np.flatnonzero(weights)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(used), number, np.int32)),
-                    pa.array(used.astype(np.int32)),
-                    pa.array(weights[used]),
-                ],
-                ["number", "bucket", "weight"],
-            )
-
     ordered = made.coalesce(1).sortWithinPartitions(F.xxhash64("id", F.lit(1)), "id")
-    learned = ordered.mapInArrow(learn, "number int, bucket int, weight double").toArrow()
-    weights = np.zeros((len(classes), 1 << bits), np.float32)
-    weights[learned.column("number").to_numpy(), learned.column("bucket").to_numpy()] = (
-        learned.column("weight").to_numpy()
-    )
-    return weights
+    context = sample.sparkSession.sparkContext
+    models = [FollowTheRegularizedLeader(bits) for _ in classes]
+    for _ in range(epochs):
+        before = context.broadcast([model.state() for model in models])
+
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = [FollowTheRegularizedLeader(bits, state=state) for state in before.value]
+            for batch in batches:
+                buckets, shares = batch.column("buckets"), batch.column("shares")
+                for n, label in enumerate(batch.column("label").to_pylist()):
+                    index, taken = buckets[n].values.to_numpy(), shares[n].values.to_numpy()
+                    for model, value in zip(own, classes, strict=True):
+                        model.learn(index, taken, float(label == value))
+            for number, model in enumerate(own):
+                index, z, squares = model.state()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(index), number, np.int32)),
+                        pa.array(index.astype(np.int32)),
+                        pa.array(z),
+                        pa.array(squares),
+                    ],
+                    ["number", "bucket", "z", "n"],
+                )
+
+        learned = ordered.mapInArrow(learn, "number int, bucket int, z double, n double").toArrow()
+        before.destroy()
+        number, index, z, squares = (column.to_numpy() for column in learned.columns)
+        models = [
+            FollowTheRegularizedLeader(
+                bits, state=(index[number == k], z[number == k], squares[number == k])
+            )
+            for k in range(len(classes))
+        ]
+    return np.array([model.weights() for model in models], np.float32)
 
 
 def with_columns_of(

@@ -125,9 +125,17 @@ class FollowTheRegularizedLeader:
         beta: float = 1.0,
         l1: float = 0.02,
         l2: float = 0.1,
+        state: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None,
     ):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(1 << bits), np.zeros(1 << bits)
+        if state is not None:
+            self.z[state[0]], self.n[state[0]] = state[1:]
+
+    def state(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The buckets learned from and their numbers, from which learning goes on."""
+        used = np.flatnonzero((self.z != 0) | (self.n != 0))
+        return used, self.z[used], self.n[used]
 
     def _weights(self, z: np.ndarray, n: np.ndarray) -> np.ndarray:
         rate = (self.beta + np.sqrt(n)) / self.alpha + self.l2

@@ -10,9 +10,13 @@ import duckdb
 import numpy as np
 import pytest
 from oddities import TEXTS, empty, frame, odd, sentence
+from pyspark.sql import functions as F
 
+from tarn.llm import quality
+from tarn.llm.common import BATCH_ROWS_CONF
 from tarn.llm.imatch import Fingerprints, edit_likeness, fingerprints, lexicon, likeness, term_hash
 from tarn.llm.mixing import _rates, fit_rates, mix, mixing_rates
+from tarn.llm.models import fit
 from tarn.llm.ngrams import Featurizer, counted, margin, sigmoid, train
 from tarn.llm.quality import classify, keep_good, train_quality
 from tarn.llm.queries import LANGUAGE_TARGETS, QUERIES
@@ -85,6 +89,41 @@ def test_ftrl_separates_and_keeps_weights_sparse():
     assert np.count_nonzero(weights) < 4_000
 
 
+def test_the_quality_sample_is_the_documented_one(spark, monkeypatch):
+    usable = [i for i in range(18_000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert len(usable) > 12_000
+    docs = spark.range(18_000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    sizes = []
+
+    def counting(sample, classes, epochs, featurizer):
+        sizes.append(sample.count())
+        return np.zeros((1, 1 << 18), np.float32)
+
+    monkeypatch.setattr(quality, "fit", counting)
+    for n in (9_000, 18_000):
+        train_quality(docs, spark.range(n).selectExpr("id AS doc_id", "id % 2 AS quality"))
+    assert sizes == [sum(i < 9_000 for i in usable), 12_000]
+
+
+def test_streamed_epochs_learn_what_one_pass_in_memory_does(spark):
+    rows = [(i, i % 3, sentence(i, 20)) for i in range(120)]
+    sample = spark.createDataFrame(rows, "id bigint, label int, text string")
+    order = [r.id for r in sample.orderBy(F.xxhash64("id", F.lit(1)), "id").collect()]
+    made = Featurizer(bits=12)
+    features = {i: counted(made.of(text)[0]) for i, _, text in rows}
+    was = spark.conf.get(BATCH_ROWS_CONF)
+    spark.conf.set(BATCH_ROWS_CONF, 7)
+    try:
+        weights = fit(sample, [0, 1, 2], 3, {"bits": 12})
+    finally:
+        spark.conf.set(BATCH_ROWS_CONF, was)
+    for value in range(3):
+        plain = [
+            (features[i][0], features[i][1].astype(np.float32), float(i % 3 == value)) for i in order
+        ]
+        assert weights[value] == pytest.approx(train(plain, 3, 12).astype(np.float32))
+
+
 def test_mixing_query_meets_its_targets(spark, sf_dir):
     rows = QUERIES["op2_source_mixing"](spark, sf_dir).collect()
     ids = [d for (d,) in fetch(sf_dir, "SELECT doc_id FROM '{}/documents.parquet'")]
