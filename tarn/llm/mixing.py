@@ -3,13 +3,14 @@
 A classifier learned from a labelled table gives every document posteriors over
 the domains. Rates, how often each document is used, are then fitted: the
 expected tokens of a domain are the sum over documents of rate x tokens x
-posterior, and projected gradient steps bring them to the targets in the least
-squares sense, from equal rates on, with momentum, and never below zero.
-
-A document's gradient depends on its posteriors and on one number per domain.
-So a step is one aggregation to as many numbers as there are domains, and a
-rate is a function of the document and the list of those numbers: no table of
-rates is rewritten, and nothing grows with the corpus but the scan.
+posterior, and the rates that bring them to the targets in the least squares
+sense are sought, those nearest to equal rates and never below the lowest one.
+
+Such a rate is the equal one less the document's posteriors times one number per
+domain, or the lowest rate. So only those numbers, the dual of the problem, are
+solved for, by Newton steps: a step is one aggregation to one number per domain
+and one per pair of domains, a rate is a function of the document and the
+numbers, and nothing grows with the corpus but the scan.
 """
 
 from __future__ import annotations
@@ -32,11 +33,14 @@ from tarn.llm.ngrams import Featurizer, margin, sigmoid
 MAX_LABELLED = 4_000
 EPOCHS = 3
 FEATURES = {"orders": 1, "shape_orders": 0, "bits": 17}
-# Steps stop here, when every domain is this close to its target, or when so
-# many steps have not brought the error down by a tenth.
-MAX_STEPS = 60
+# Steps stop when every domain is this close to its target, or when the optimum is
+# found: no domain's tokens are further from what it asks than this share of all.
 CLOSE = 1e-4
-PATIENCE = 6
+OPTIMAL = 1e-6
+# How much the distance from equal rates weighs beside the error, and the shortest
+# part of a step that is tried.
+EQUAL_WEIGHT = 1e-10
+LEAST_STEP = 1e-6
 
 POSTERIOR_SCHEMA = "doc_id bigint, n_tokens bigint, posterior array<double>"
 
@@ -86,61 +90,33 @@ def _matrix(column: pa.Array, domains: int) -> np.ndarray:
 @dataclass(frozen=True)
 class Fit:
     """What makes a document's rate from its posteriors: the rate all start from,
-    the lowest one, and the steps, each a vector over the domains."""
+    the lowest one, and how strongly each domain pulls rates down."""
 
     start: float
-    lowest: float = 0.0
-    steps: tuple[np.ndarray, ...] = ()
+    lowest: float
+    pull: np.ndarray
 
 
 def _rates(chances: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
-    """The rates after the projected steps, and the point ahead of them from
-    which the next step is taken (momentum)."""
-    rates = before = np.full(len(chances), fit.start)
-    ahead = rates
-    for number, step in enumerate(fit.steps, 1):
-        before, rates = rates, np.maximum(fit.lowest, ahead - chances @ step)
-        ahead = rates + number / (number + 3) * (rates - before)
-    return rates, ahead
+    """The rates, and which of them are above the lowest and move with the pull."""
+    free = fit.start - chances @ fit.pull
+    return np.maximum(fit.lowest, free), free > fit.lowest
 
 
-def _expected(members: DataFrame, domains: int, fit: Fit) -> np.ndarray:
-    """Tokens per domain at the point ahead that ``fit`` leads to."""
+def _expected(members: DataFrame, domains: int, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens per domain at the rates of ``fit``, and the token-weighted products,
+    domain by domain, of the posteriors of documents whose rates move."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(domains)
+        total = np.zeros((domains + 1, domains))
         for batch in batches:
             chances = _matrix(batch.column("posterior"), domains)
             tokens = batch.column("n_tokens").to_numpy(zero_copy_only=False)
-            total += (_rates(chances, fit)[1] * tokens) @ chances
+            rates, moving = _rates(chances, fit)
+            total[0] += (rates * tokens) @ chances
+            total[1:] += chances.T @ (chances * (tokens * moving)[:, None])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(domains, dtype=np.int32)), pa.array(total)], ["domain", "tokens"]
-        )
-
-    rows = (
-        members.select("n_tokens", "posterior")
-        .mapInArrow(sums, "domain int, tokens double")
-        .groupBy("domain")
-        .agg(F.sum("tokens").alias("tokens"))
-        .collect()
-    )
-    found = np.zeros(domains)
-    for row in rows:
-        found[row["domain"]] = row["tokens"]
-    return found
-
-
-def _gram(members: DataFrame, domains: int) -> np.ndarray:
-    """Token-weighted products of the posteriors, domain by domain."""
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((domains, domains))
-        for batch in batches:
-            chances = _matrix(batch.column("posterior"), domains)
-            tokens = batch.column("n_tokens").to_numpy(zero_copy_only=False)
-            total += chances.T @ (chances * tokens[:, None])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(domains**2, dtype=np.int32)), pa.array(total.ravel())],
+            [pa.array(np.arange(total.size, dtype=np.int32)), pa.array(total.ravel())],
             ["cell", "value"],
         )
 
@@ -151,44 +127,59 @@ def _gram(members: DataFrame, domains: int) -> np.ndarray:
         .agg(F.sum("value").alias("value"))
         .collect()
     )
-    found = np.zeros(domains**2)
+    found = np.zeros((domains + 1) * domains)
     for row in rows:
         found[row["cell"]] = row["value"]
-    return found.reshape(domains, domains)
+    found = found.reshape(domains + 1, domains)
+    return found[0], found[1:]
 
 
 def fit_rates(members: DataFrame, shares: np.ndarray, keep_all: bool = False) -> Fit:
-    """Projected gradient steps for ``members`` towards ``shares``.
+    """The rates of ``members`` that meet ``shares`` as nearly as any can.
 
     The targets are ``shares`` of the corpus's tokens, and rates are at least
     zero; with ``keep_all`` they are shares of as many tokens as the most
     over-represented domain needs to stay whole, and rates are at least one.
-    A document's step is weighted by one over its tokens, and residuals by the
-    inverse of the posteriors' products. Under these weights the problem has
-    curvature one, so the step length is one and few steps are needed. Targets
-    that no rates can meet are met as nearly as these weights say.
+    Residuals are weighted by the inverse of the posteriors' products, and
+    targets that no rates can meet are met as nearly as these weights say. Of
+    rates that do so equally well, those nearest to equal ones are taken, by
+    tokens.
+
+    The dual is convex and made of finitely many quadratic pieces, so Newton
+    steps reach its optimum, each shortened until the slope along it falls.
     """
     domains = len(shares)
-    plain = _expected(members, domains, Fit(1.0))
+    none = np.zeros(domains)
+    plain, gram = _expected(members, domains, Fit(1.0, 0.0, none))
     total = plain.sum()
     if not total:
-        return Fit(1.0)
+        return Fit(1.0, 0.0, none)
     if keep_all:
         total = max(m / w for m, w in zip(plain, shares, strict=True) if w > 0)
     targets = shares * total
-    gram = _gram(members, domains)
-    weights = np.linalg.inv(gram + 1e-6 * np.trace(gram) * np.eye(domains))
-    fit = Fit(total / plain.sum(), 1.0 if keep_all else 0.0)
-    errors: list[float] = []
-    while len(fit.steps) < MAX_STEPS:
-        residual = _expected(members, domains, fit) - targets
+    near_equal = EQUAL_WEIGHT * (gram + 1e-6 * np.trace(gram) * np.eye(domains))
+    fit = Fit(total / plain.sum(), 1.0 if keep_all else 0.0, none)
+    tokens, moving = fit.start * plain, gram
+    while True:
+        residual = tokens - targets
         if np.all(np.abs(residual) <= CLOSE * np.maximum(targets, total * 1e-3)):
-            break
-        errors.append(float(residual @ weights @ residual))
-        if len(errors) > PATIENCE and min(errors[-PATIENCE:]) > 0.9 * min(errors[:-PATIENCE]):
-            break
-        fit = replace(fit, steps=(*fit.steps, weights @ residual))
-    return fit
+            return fit
+        slope = near_equal @ fit.pull - residual
+        if np.abs(slope).max() <= OPTIMAL * total:
+            return fit
+        step = np.linalg.solve(moving + near_equal, -slope)
+        part = 1.0
+        while True:
+            ahead = replace(fit, pull=fit.pull + part * step)
+            tokens, moving = _expected(members, domains, ahead)
+            left = near_equal @ ahead.pull - (tokens - targets)
+            if abs(left @ step) <= 0.9 * abs(slope @ step):
+                break
+            part /= 2
+            if part < LEAST_STEP:
+                # Rounding is all that is left of the slope.
+                return fit
+        fit = ahead
 
 
 def mixing_rates(

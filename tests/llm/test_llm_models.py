@@ -167,6 +167,38 @@ def test_rates_are_the_least_squares_ones(spark):
         assert error <= least + 0.001 * tokens.sum()
 
 
+@pytest.mark.parametrize("shares", [[0.1, 0.1, 0.1, 0.7], [0.5, 0.2, 0.2, 0.1], [0.03, 0.9, 0.03, 0.04]])
+def test_rates_that_keep_all_are_the_least_squares_ones(spark, shares):
+    """Against projected gradient on the whole system, with restarts and run much longer."""
+    rng = np.random.default_rng(11)
+    domain = rng.choice(4, 400, p=[0.55, 0.25, 0.15, 0.05])
+    odds = np.exp(rng.normal(0, 1, (400, 4)) + 5 * np.eye(4)[domain])
+    chances = odds / odds.sum(axis=1)[:, None]
+    tokens = rng.integers(0, 2_000, 400)
+    members = spark.createDataFrame(
+        [(i, int(t), [float(x) for x in p]) for i, (t, p) in enumerate(zip(tokens, chances, strict=True))],
+        "doc_id bigint, n_tokens bigint, posterior array<double>",
+    ).cache()
+    shares = np.array(shares)
+    rates, _ = _rates(chances, fit_rates(members, shares, keep_all=True))
+    assert rates.min() >= 1
+    pull = (chances * tokens[:, None]).T
+    targets = shares * (pull.sum(axis=1) / shares).max()
+    gram = pull @ chances
+    root = np.linalg.cholesky(np.linalg.inv(gram + 1e-6 * np.trace(gram) * np.eye(4))).T
+    best = ahead = np.ones(400)
+    whole, at = np.linalg.inv(gram + 1e-6 * np.trace(gram) * np.eye(4)), 0
+    for _ in range(100_000):
+        slope = chances @ (whole @ (pull @ ahead - targets))
+        before, best = best, np.maximum(1, ahead - slope)
+        at = 0 if (slope * tokens) @ (best - before) > 0 else at + 1
+        ahead = best + at / (at + 3) * (best - before)
+    error, least = (np.linalg.norm(root @ (pull @ r - targets)) for r in (rates, best))
+    assert error <= 1.001 * least + 1e-4 * np.linalg.norm(root @ targets)
+    off, least_off = (np.abs(pull @ r / targets - 1).max() for r in (rates, best))
+    assert off <= least_off + 0.002
+
+
 def test_targets_out_of_reach_are_neared(spark):
     chances = np.array([[0.9, 0.1], [0.5, 0.5], [0.3, 0.7]])
     members = spark.createDataFrame(
