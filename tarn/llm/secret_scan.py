@@ -49,9 +49,11 @@ ENDPOINT = re.compile(
 )
 IDENTIFIER = re.compile(
     r"""\b(?:user(?:name|_?id)?|login|account(?:_?id)?|client_?id|access_?key(?:_?id)?|key_?id)"""
-    r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._+-]+|\b(?:AKIA|ASIA|AROA|AIDA)[A-Z0-9]{12,15}\b""",
+    r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._+-]+|\b(?:AKIA|ASIA|AROA|AIDA)[A-Z0-9]{12,}\b""",
     re.IGNORECASE | re.ASCII,
 )
+# What every bare identifier begins with, in lower case.
+KEY_PREFIXES = ("akia", "asia", "aroa", "aida")
 RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}", re.ASCII)
 # Bits per character below which a string doesn't look random.
 LEAST_ENTROPY = 3.4
@@ -111,8 +113,11 @@ def credential_parts(
     def free(start: int, end: int) -> bool:
         return not any(s < end and start < e for s, e in taken)
 
-    if "=" in text or ":" in text or "AKIA" in text:
+    named = "=" in text or ":" in text
+    lower = "" if named else text.lower()
+    if named:
         parts += [(m.start(), m.end(), "endpoint", False) for m in ENDPOINT.finditer(text)]
+    if named or any(prefix in lower for prefix in KEY_PREFIXES):
         parts += [
             (m.start(), m.end(), "id", True)
             for m in IDENTIFIER.finditer(text)

@@ -181,6 +181,22 @@ def test_weak_parts_count_only_together(spark):
         assert ("linked_id" in got[i], "linked_secret" in got[i]) == (has_id, has_secret), LINKED[i]
 
 
+BARE_IDS = ["ASIA2QF7XKTNB4VW9PLC", "AROA2QF7XKTNB4VW9PLCD", "aida2qf7xktnb4vw9plc", "AKIA2QF7XKTNB4VW"]
+
+
+def test_bare_key_ids_need_no_sign_beside_them(spark):
+    secret = "q8Zr5LkX2mVt9sWb4NyH"
+    texts = [form for key in BARE_IDS for form in (f"{key},{secret}", f"key: {key} {secret}", f"{key} alone")]
+    got = {
+        r.doc_id: [(s.kind, s.start, s.end) for s in r.found]
+        for r in find_secrets(frame(spark, list(enumerate(texts)))).collect()
+    }
+    for i, text in enumerate(texts):
+        at, end = text.index(BARE_IDS[i // 3]), len(text)
+        both = [("linked_id", at, at + len(BARE_IDS[i // 3])), ("linked_secret", end - len(secret), end)]
+        assert got[i] == ([] if text.endswith("alone") else both), text
+
+
 def test_many_parts_in_one_paragraph_stay_linear(spark):
     text = "user = deploy q8Zr5LkX2mVt9sWb4NyH " * 5_000
     (row,) = find_secrets(frame(spark, [(1, text)])).select(F.size("found").alias("n")).collect()
