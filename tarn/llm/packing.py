@@ -56,7 +56,7 @@ def pieces(
             cut: list[np.ndarray] = []
             texts = values(batch.column("text"))
             for owner, content in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-                ids = np.append(words.ids(content), np.array([END_ID], "<u4"))
+                ids = np.append(words.ids_with_added(content), np.array([END_ID], "<u4"))
                 first = len(ids) % capacity or capacity
                 edges = [0, *range(first, len(ids) + 1, capacity)]
                 for n, (s, e) in enumerate(zip(edges, edges[1:])):

@@ -54,6 +54,13 @@ class Vocabulary(dict):
             for token, number in data["model"]["vocab"].items()
             if token not in special
         }
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in data["added_tokens"]):
+            raise ValueError(f"{path}: added tokens that take in what is around them")
+        self.added = {
+            token["content"]: np.array([token["id"]], "<u4") for token in data["added_tokens"]
+        }
+        longest = sorted(self.added, key=len, reverse=True)
+        self.splits = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
         self.size = 1 + max(
             [*data["model"]["vocab"].values(), *(t["id"] for t in data["added_tokens"])]
         )
@@ -68,11 +75,24 @@ class Vocabulary(dict):
         return ids
 
     def ids(self, text: str) -> np.ndarray:
-        """The ids of ``text``, which may not hold special tokens."""
+        """The ids of ``text``, in which added tokens are ordinary characters."""
         if NOT_SPACE.search(text):
             return np.array(self.encoding.encode_ordinary(text), "<u4")
         return np.frombuffer(b"".join(map(self.__getitem__, CHUNKS.findall(text))), "<u4")
 
+    def ids_with_added(self, text: str) -> np.ndarray:
+        """The ids of ``text``, in which added tokens are their own ids.
+
+        This is what the library gives without further settings; what lies
+        between added tokens is encoded apart.
+        """
+        parts = self.splits.split(text) if self.splits else [text]
+        if len(parts) == 1:
+            return self.ids(text)
+        return np.concatenate(
+            [self.added[p] if n % 2 else self.ids(p) for n, p in enumerate(parts)]
+        )
+
     def text(self, ids: np.ndarray) -> str:
         return self.encoding.decode_bytes(ids.tolist()).decode("utf-8")
 

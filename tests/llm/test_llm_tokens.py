@@ -5,13 +5,14 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections import defaultdict
+from functools import lru_cache
 
 import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from oddities import TEXTS, empty, odd
+from oddities import TEXTS, empty, frame, odd
 from tokenizers import Tokenizer
 
 from tarn.llm.chat import CONTROL_STRINGS, escape, format_chat, read_back, unescape
@@ -52,6 +53,31 @@ def test_ids_of_whole_documents(tokenizer, sf_dir):
         assert own.ids(text).tolist() == encoded.ids
 
 
+PLANTED = st.lists(st.one_of(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " "]), TRICKY), max_size=6)
+
+
+@settings(max_examples=300, deadline=None)
+@given(PLANTED.map("".join))
+def test_ids_with_added_tokens_are_those_of_the_library_as_it_comes(text):
+    own = vocabulary(VOCABULARY).ids_with_added(text)
+    assert own.tolist() == as_it_comes().encode(text, add_special_tokens=False).ids
+
+
+@lru_cache
+def as_it_comes():
+    return Tokenizer.from_file(VOCABULARY)
+
+
+def test_packing_gives_added_tokens_their_ids(spark):
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|> <|endoftext|>\n y " * 400, "<|endoftext"]
+    ids_of = {
+        n: np.array([*as_it_comes().encode(text, add_special_tokens=False).ids, END_ID], "<u4")
+        for n, text in enumerate(texts)
+    }
+    assert ids_of[0].tolist() == [64, 50256, 65, END_ID]
+    check_pieces(pack_documents(frame(spark, list(enumerate(texts))), VOCABULARY).collect(), ids_of)
+
+
 CONTROLS = ["</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", *CONTROL_STRINGS]
 
 
