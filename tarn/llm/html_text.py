@@ -220,7 +220,7 @@ def _in_order(root: Node) -> list[Node]:
 
 
 def _is_boilerplate(node: Node) -> bool:
-    if node.tag in DROPPED or node.unseen:
+    if node.unseen or (node.tag in DROPPED and not (node.tag == "form" and node.holds)):
         return True
     if node.tag in ("html", "body", "article", "main", "#root"):
         return False
@@ -230,7 +230,11 @@ def _is_boilerplate(node: Node) -> bool:
 
 
 def _prune(root: Node) -> None:
-    """Cut off boilerplate, but by its names only what doesn't hold the article."""
+    """Cut off boilerplate, but by its names only what doesn't hold the article.
+
+    A form that holds it stays, as server-side frameworks wrap whole pages in
+    one; its controls go like others.
+    """
     nodes = _in_order(root)
     for node in reversed(nodes):
         if node.parent is not None:

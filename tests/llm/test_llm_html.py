@@ -106,3 +106,13 @@ def test_odd_rows(spark):
     assert got[:4] == [(1, None, "", 0), (None, "u", "text", 4), (2, "u", "", 0), (2, "u", "", 0)]
     assert got[4][3] == 399_999
     assert extract_text(pages.where("false")).collect() == []
+
+
+def test_a_form_around_the_page_is_no_boilerplate():
+    words = "The article goes on, sentence by sentence, until it has said what it came to say. " * 3
+    controls = "<input value='x'><select><option>Pick</option></select><button>Send</button><textarea>Type</textarea>"
+    page = f"<body><form class='form'><h1>Title</h1><div><p>{words}</p><p>{words}</p></div>{controls}</form></body>"
+    found = main_text(page)
+    assert found.count("The article") == 6
+    assert not any(word in found for word in ("Pick", "Send", "Type"))
+    assert "Sign" not in main_text(f"<body><div><p>{words}</p></div><form><p>Sign up here</p></form></body>")
