@@ -14,7 +14,7 @@ from tarn.operators import shape
 from tarn.operators.gates import NOT_THERE
 from tarn.plans import run_all, run_bronze, run_gold, run_silver
 from tarn.plans.settings import scale_settings
-from tarn.sources import LakePaths, listed_bytes
+from tarn.sources import LakePaths, listed_bytes, newest, newest_per_stamp, run_folders
 
 
 def parser() -> argparse.ArgumentParser:
@@ -40,7 +40,9 @@ def parser() -> argparse.ArgumentParser:
     return cli
 
 
-def size_session(spark: SparkSession, source: str, input_bytes: int | None) -> None:
+def size_session(
+    spark: SparkSession, source: str | list[str], input_bytes: int | None
+) -> None:
     """Apply the settings that depend on the size of the layer's input.
 
     A source that is not there is left to the layer's gate.
@@ -63,7 +65,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"tarn {args.layer}").getOrCreate()
     run = RunStamp.at(args.at, args.zone) if args.at else RunStamp.now(args.zone)
     paths = LakePaths(args.root, args.table)
-    source = {"silver": paths.raw_month(run), "gold": paths.silver}.get(args.layer, args.pages)
+    source = args.pages
+    if args.layer == "silver":
+        month = paths.raw_month(run)
+        source = [month, *run_folders(spark, month, newest_per_stamp)]
+    elif args.layer == "gold":
+        source = run_folders(spark, paths.silver, newest) or paths.silver
     size_session(spark, source, args.input_bytes)
     landing = (spark, args.pages, paths, run, args.fields, not args.page_per_line)
     if args.layer == "bronze":

@@ -3,7 +3,7 @@
 from tarn.operators.catalog import catalogue, dictionary, structure
 from tarn.operators.conform import conform, normalize
 from tarn.operators.control import volume
-from tarn.operators.gates import EmptyLayer, require_layer, require_rows, shape
+from tarn.operators.gates import EmptyLayer, require_count, require_layer, require_rows, shape
 from tarn.operators.profile import profile
 from tarn.operators.rollup import count_by, count_by_sql, ranked, stamped, top
 
@@ -17,6 +17,7 @@ __all__ = [
     "normalize",
     "profile",
     "ranked",
+    "require_count",
     "require_layer",
     "require_rows",
     "shape",

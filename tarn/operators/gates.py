@@ -27,6 +27,12 @@ def require_rows(df: DataFrame, layer: str) -> DataFrame:
     return df
 
 
+def require_count(rows: int, layer: str) -> None:
+    """The gate for rows that were counted while they were written."""
+    if not rows:
+        raise EmptyLayer(layer)
+
+
 def require_layer(open_layer: Callable[[], DataFrame], layer: str) -> DataFrame:
     """The stored layer that ``open_layer`` reads, if it is there and has a row."""
     try:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import warnings
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +26,13 @@ DIGEST_FROM = 64
 WHOLE_TYPES = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FRACTION_TYPES = (T.FloatType, T.DoubleType)
 
+Fields = list[tuple[int, T.StructField]]
+
+FIGURES_SCHEMA = T.StructType(
+    [T.StructField("i", T.IntegerType())]
+    + [T.StructField(name, T.LongType()) for name in ("total", "nulls", "distinct")]
+)
+
 PROFILE_SCHEMA = T.StructType(
     [
         T.StructField("coluna", T.StringType()),
@@ -35,7 +45,10 @@ PROFILE_SCHEMA = T.StructType(
 
 
 def profile(
-    df: DataFrame, approx: bool = False, blank_keys: Mapping[str, int] | None = None
+    df: DataFrame,
+    approx: bool = False,
+    blank_keys: Mapping[str, int] | None = None,
+    isolate: bool = False,
 ) -> DataFrame:
     """One row per column of ``df``: ``coluna``, ``tipo``, ``qt_nulos``,
     ``percent_nulos``, ``cardinalidade``; most NULLs first.
@@ -49,13 +62,21 @@ def profile(
 
     ``blank_keys`` is for a partitioned table profiled after it was written:
     how many of a key column's NULLs had been ``''`` (``write_partitioned``).
+
+    With ``isolate`` the figures are computed at once, and a column whose values
+    cannot be computed (a cast that fails, a broken column chunk) costs its own
+    figures only: it keeps its row, with NULL figures and a warning.
     """
     fields = df.schema.fields
     if not fields:
         return local_rows(df.sparkSession, [], PROFILE_SCHEMA)
-    figures = (_approximate if approx else _exact)(df)
+    plan = _approximate if approx else _exact
+    members = list(enumerate(fields))
+    figures = _apart(df, members, plan) if isolate else plan(df, members)
     figures = _with_blanks(figures, fields, blank_keys or {})
     comparable = F.col("i").isin([i for i, f in enumerate(fields) if _comparable(f.dataType)])
+    if isolate:
+        comparable &= F.col("total").isNotNull()
     return figures.select(
         _pick("i", [f.name for f in fields]).alias("coluna"),
         _pick("i", [f.dataType.simpleString() for f in fields]).alias("tipo"),
@@ -66,15 +87,47 @@ def profile(
     ).orderBy(F.desc("percent_nulos"), "i").drop("i")
 
 
-def _exact(df: DataFrame) -> DataFrame:
+def _apart(
+    df: DataFrame, fields: Fields, plan: Callable[[DataFrame, Fields], DataFrame]
+) -> DataFrame:
+    """The figures of ``plan``, of which columns that fail have none.
+
+    All columns run together first. Where that fails the columns are halved
+    until those that fail are alone: some log2(columns) more runs for each of
+    them, and none where all is well. If every column fails, the last error is
+    raised, for then it is not a column's.
+    """
+    failed: dict[int, Exception] = {}
+
+    def attempt(members: Fields) -> list[tuple]:
+        try:
+            return [tuple(row) for row in plan(df, members).collect()]
+        except (PySparkException, Py4JJavaError) as error:
+            if len(members) == 1:
+                failed[members[0][0]] = error
+                return [(members[0][0], None, None, None)]
+        middle = len(members) // 2
+        return attempt(members[:middle]) + attempt(members[middle:])
+
+    rows = attempt(fields)
+    if len(failed) == len(fields):
+        raise list(failed.values())[-1]
+    for i, error in failed.items():
+        reason = str(error).strip().splitlines()[0]
+        warnings.warn(f"no figures for column {fields[i][1].name}: {reason}", stacklevel=3)
+    return local_rows(df.sparkSession, rows, FIGURES_SCHEMA)
+
+
+def _exact(df: DataFrame, fields: Fields) -> DataFrame:
     """``(i, total, nulls, distinct)`` from a count of every (column, value).
 
     Tasks count before the shuffle, so a hot value costs one row per task, and
     only (column number, value) is shuffled. One seed per column makes columns
     without rows appear.
     """
-    seeds = df.sparkSession.range(0, len(df.columns), 1, 1).select(
-        F.col("id").cast("int").alias("i"),
+    numbers = F.array(*[F.lit(i) for i, _ in fields])
+    seeds = df.sparkSession.range(0, len(fields), 1, 1).select(
+        F.get(numbers, F.col("id").cast("int")).alias("i"),
         F.lit(0).cast("bigint").alias("n"),
         F.lit(False).alias("is_null"),
     )
@@ -83,7 +136,7 @@ def _exact(df: DataFrame) -> DataFrame:
         .groupBy("i", "v")
         .agg(F.count("*").alias("n"))
         .select("i", "n", F.col("v").isNull().alias("is_null"))
-        for group in _groups(df.schema.fields)
+        for group in _groups(fields)
     ]
     return (
         reduce(DataFrame.unionByName, counted, seeds)
@@ -96,10 +149,10 @@ def _exact(df: DataFrame) -> DataFrame:
     )
 
 
-def _groups(fields: list[T.StructField]) -> Iterable[list[tuple[int, Column]]]:
+def _groups(fields: Fields) -> Iterable[list[tuple[int, Column]]]:
     """Columns that share one pass: of one carrier type, and few."""
     families: dict[str, list[tuple[int, Column]]] = {}
-    for i, f in enumerate(fields):
+    for i, f in fields:
         if _comparable(f.dataType):
             family, value = _carrier(f)
             families.setdefault(family, []).append((i, value))
@@ -155,13 +208,12 @@ def _comparable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))
 
 
-def _approximate(df: DataFrame) -> DataFrame:
+def _approximate(df: DataFrame, fields: Fields) -> DataFrame:
     """``(i, total, nulls, distinct)`` with an estimated ``distinct``.
 
     One aggregate per pass: a sketch is some 50 buffer fields per column, too
     many for one aggregate over a wide table.
     """
-    fields = list(enumerate(df.schema.fields))
     passes = [
         _estimated(df, fields[start : start + SKETCH_COLUMNS])
         for start in range(0, len(fields), SKETCH_COLUMNS)
@@ -169,7 +221,7 @@ def _approximate(df: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, passes)
 
 
-def _estimated(df: DataFrame, fields: list[tuple[int, T.StructField]]) -> DataFrame:
+def _estimated(df: DataFrame, fields: Fields) -> DataFrame:
     aggregates = [F.count("*").alias("total")]
     rows = []
     for i, f in fields:

@@ -3,6 +3,10 @@
 No job caches its table. Each writes it first and takes the profile, the
 catalogue and the control from the written Parquet: what is stored survives
 lost executors, and only the columns asked for are read back.
+
+All that a job stores carries its run's stamp. A job that is repeated under one
+stamp replaces what it stored before; its control rows come last, so their
+record says that the layer is complete.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from tarn.operators import (
     normalize,
     profile,
     ranked,
+    require_count,
     require_layer,
     require_rows,
     stamped,
@@ -33,9 +38,12 @@ from tarn.sources import (
     LakePaths,
     append_rows,
     land_month,
+    newest,
+    newest_per_stamp,
     read_month,
     read_pages,
     read_table,
+    run_records,
     write_partitioned,
     write_table,
 )
@@ -57,12 +65,15 @@ def run_bronze(
     fields: Sequence[str] | None = None,
     one_page_per_file: bool = True,
 ) -> None:
-    """Land the records of the page files in the run's month folder."""
+    """Land the records of the page files in the run's month folder.
+
+    A landing that is repeated under one stamp takes the place of the first.
+    """
     records = require_layer(
         lambda: read_pages(spark, pages, fields, one_page_per_file), "the source pages"
     )
     cells = normalize(records, layout.BRONZE_COLUMNS, layout.COORDINATES)
-    land_month(cells, paths.raw_month(run), layout.BRONZE_COLUMNS)
+    land_month(cells, paths.raw_month(run), layout.BRONZE_COLUMNS, stamp=run.ts_proc)
 
 
 def run_silver(
@@ -74,19 +85,22 @@ def run_silver(
     )
     rows = conform(month, layout.BRONZE_COLUMNS, layout.COORDINATES, run)
     require_rows(rows, "Silver, before the write")
-    blanks = write_partitioned(rows, paths.silver, layout.SILVER_KEYS)
+    blanks = write_partitioned(rows, paths.silver, layout.SILVER_KEYS, stamp=run.ts_proc)
     silver = read_table(spark, paths.silver, layout.SILVER_SCHEMA)
     write_table(
         catalogue(
             structure(silver, layout.SILVER_TABLE, "silver"),
             dictionary(spark, layout.SILVER_DICTIONARY),
-            profile(silver, approx=approx, blank_keys=blanks),
+            profile(silver, approx=approx, blank_keys=blanks, isolate=True),
         ),
         paths.metadata("silver"),
         files=1,
+        stamp=run.ts_proc,
     )
     append_rows(
-        volume(silver, layout.SILVER_TABLE, layout.SILVER_STAMPS), paths.control("silver")
+        volume(silver, layout.SILVER_TABLE, layout.SILVER_STAMPS),
+        paths.control("silver"),
+        run.ts_proc,
     )
     return LayerRun(silver)
 
@@ -100,32 +114,60 @@ def run_gold(
 ) -> LayerRun:
     """Build Gold from Silver, replacing the table.
 
-    The counts are staged first: groups, not rows. So the gate looks at them
-    before the old table goes, and Silver is read once.
+    The writing tasks count the rows, and the gate looks at the count before
+    the new table takes the old one's place.
     """
     silver = require_layer(
         lambda: read_table(spark, paths.silver, layout.SILVER_SCHEMA), "Silver"
     )
     counts = stamped(count_by(silver, layout.GOLD_KEYS, layout.GOLD_COUNT), run)
-    write_table(counts, paths.staging("gold"))
-    staged = require_rows(
-        read_table(spark, paths.staging("gold"), layout.GOLD_SCHEMA), "Gold, before the write"
+    write_table(
+        ranked(counts, layout.GOLD_COUNT, layout.GOLD_KEYS),
+        paths.gold,
+        files,
+        stamp=run.ts_proc,
+        accept=lambda rows: require_count(rows, "Gold, before the write"),
     )
-    write_table(ranked(staged, layout.GOLD_COUNT, layout.GOLD_KEYS), paths.gold, files)
     gold = read_table(spark, paths.gold, layout.GOLD_SCHEMA)
     write_table(
         catalogue(
             structure(gold, layout.GOLD_TABLE, "gold"),
             dictionary(spark, layout.GOLD_DICTIONARY),
-            profile(gold, approx=approx),
+            profile(gold, approx=approx, isolate=True),
         ),
         paths.metadata("gold"),
         files=1,
+        stamp=run.ts_proc,
+    )
+    append_rows(
+        volume(gold, layout.GOLD_TABLE, layout.GOLD_STAMPS), paths.control("gold"), run.ts_proc
     )
-    append_rows(volume(gold, layout.GOLD_TABLE, layout.GOLD_STAMPS), paths.control("gold"))
     return LayerRun(gold, top(gold, layout.GOLD_COUNT, layout.GOLD_KEYS))
 
 
+def completed(spark: SparkSession, paths: LakePaths, run: RunStamp) -> list[str]:
+    """The layers that this run has stored whole, up to the first it has not.
+
+    A layer is whole when its last record, that of the control, is there, and it
+    is the run's as long as no other run has replaced its table.
+    """
+
+    def stamps(path: str, counted) -> set[int]:
+        return {record.stamp for record in counted(run_records(spark, path))}
+
+    landed = {"bronze": [(paths.raw_month(run), newest_per_stamp)]}
+    built = {
+        zone: [(paths.control(zone), newest_per_stamp), (getattr(paths, zone), newest)]
+        for zone in ("silver", "gold")
+    }
+    whole = []
+    for layer, records in {**landed, **built}.items():
+        if not all(run.ts_proc in stamps(path, counted) for path, counted in records):
+            break
+        whole.append(layer)
+    return whole
+
+
 def run_all(
     spark: SparkSession,
     pages: str | list[str],
@@ -135,9 +177,17 @@ def run_all(
     one_page_per_file: bool = True,
     approx: bool = False,
 ) -> LayerRun:
-    """Bronze, Silver and Gold in turn; the first layer found empty stops it."""
-    run_bronze(spark, pages, paths, run, fields, one_page_per_file)
-    run_silver(spark, paths, run, approx)
-    gold = run_gold(spark, paths, run, approx)
-    require_layer(lambda: read_table(spark, paths.gold, layout.GOLD_SCHEMA), "Gold")
-    return gold
+    """Bronze, Silver and Gold in turn; the first layer found empty stops it.
+
+    Called again under the same stamp after a failure, it goes on at the first
+    layer that the run has not stored whole.
+    """
+    done = completed(spark, paths, run)
+    if "bronze" not in done:
+        run_bronze(spark, pages, paths, run, fields, one_page_per_file)
+    if "silver" not in done:
+        run_silver(spark, paths, run, approx)
+    if "gold" not in done:
+        run_gold(spark, paths, run, approx)
+    gold = require_layer(lambda: read_table(spark, paths.gold, layout.GOLD_SCHEMA), "Gold")
+    return LayerRun(gold, top(gold, layout.GOLD_COUNT, layout.GOLD_KEYS))

@@ -165,17 +165,27 @@ GOLD = _gold(SILVER)
 CHAIN_SILVER = _silver(MONTH)
 CHAIN_GOLD = _gold(_read_back(CHAIN_SILVER))
 
+CHAIN_CONTROL = f"""
+    SELECT name_file, name_file_partition, ref_partition, ts_proc, ts_proc_partition,
+           qtd_registros
+    FROM ({_control(CHAIN_SILVER, layout.SILVER_TABLE, layout.SILVER_STAMPS)})
+    UNION ALL
+    SELECT name_file, name_file_partition, ref_partition, ts_proc, NULL, qtd_registros
+    FROM ({_control(CHAIN_GOLD, layout.GOLD_TABLE, layout.GOLD_STAMPS)})"""
+LANDED_DOCUMENTS = """
+    SELECT CAST(doc_id AS VARCHAR) AS id,
+           NULLIF(CASE WHEN text = 'None' THEN '' ELSE text END, '') AS name,
+           NULLIF(lang, '') AS brewery_type, NULLIF(source, '') AS city,
+           CAST(NULL AS VARCHAR) AS state, CAST(n_chars AS VARCHAR) AS n_chars
+    FROM documents"""
+
 ORACLES: dict[str, str] = {
     "bronze_normalize": BRONZE,
     "bronze_json_pages": SITE_RAW,
     "bronze_csv_roundtrip": f"""SELECT * REPLACE (CASE WHEN CAST(trim(id) AS BIGINT) % 2 = 1
         THEN segment END AS segment) FROM ({MONTH})""",
-    "bronze_documents_roundtrip": """
-        SELECT CAST(doc_id AS VARCHAR) AS id,
-               NULLIF(CASE WHEN text = 'None' THEN '' ELSE text END, '') AS name,
-               NULLIF(lang, '') AS brewery_type, NULLIF(source, '') AS city,
-               CAST(NULL AS VARCHAR) AS state, CAST(n_chars AS VARCHAR) AS n_chars
-        FROM documents""",
+    "bronze_documents_roundtrip": LANDED_DOCUMENTS,
+    "landing_retry": LANDED_DOCUMENTS,
     "silver_conform": SILVER,
     "silver_documents": """
         SELECT CAST(20260115 AS INTEGER) AS ref, CAST(202601 AS INTEGER) AS ref_partition,
@@ -200,6 +210,10 @@ ORACLES: dict[str, str] = {
         f"profile_{name}": _profile(f"SELECT * FROM {name}", _columns(name))
         for name in TABLE_COLUMNS
     },
+    "profile_broken": f"""
+        SELECT * FROM ({_profile("SELECT * FROM lineitem", _columns("lineitem"))})
+        UNION ALL SELECT name, 'int', NULL, NULL, NULL
+        FROM (VALUES ('l_broken'), ('l_flag_number')) AS failing(name)""",
     "metadata_silver": _catalogue(
         SILVER, SILVER_TYPES, "silver", layout.SILVER_TABLE, layout.SILVER_DICTIONARY
     ),
@@ -243,11 +257,8 @@ ORACLES: dict[str, str] = {
         SELECT * FROM ({_catalogue(
             CHAIN_GOLD, GOLD_TYPES, "gold", layout.GOLD_TABLE, layout.GOLD_DICTIONARY
         )})""",
-    "chain_control": f"""
-        SELECT name_file, name_file_partition, ref_partition, ts_proc, ts_proc_partition,
-               qtd_registros
-        FROM ({_control(CHAIN_SILVER, layout.SILVER_TABLE, layout.SILVER_STAMPS)})
-        UNION ALL
-        SELECT name_file, name_file_partition, ref_partition, ts_proc, NULL, qtd_registros
-        FROM ({_control(CHAIN_GOLD, layout.GOLD_TABLE, layout.GOLD_STAMPS)})""",
+    "chain_control": CHAIN_CONTROL,
+    "retry_gold": CHAIN_GOLD,
+    "retry_control": CHAIN_CONTROL,
+    "replaced_silver": _read_back(_silver(SITE_RAW, 20260116)),
 }

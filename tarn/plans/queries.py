@@ -9,7 +9,9 @@ share.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +36,7 @@ from tarn.operators import (
     volume,
 )
 from tarn.plans import layout
-from tarn.plans.layers import run_all
+from tarn.plans.layers import run_all, run_bronze, run_gold, run_silver
 from tarn.sources import (
     LakePaths,
     append_rows,
@@ -42,6 +44,7 @@ from tarn.sources import (
     local_rows,
     read_month,
     read_pages,
+    read_rows,
     read_table,
     scratch_folder,
     write_partitioned,
@@ -51,6 +54,9 @@ from tarn.sources import (
 RUN = RunStamp(ref=20260115, ref_partition=202601, ts_proc=20260115060000)
 NEXT_RUN = RunStamp(ref=20260116, ref_partition=202601, ts_proc=20260116060000)
 
+# Records of a page, the source's own page size.
+PAGE_RECORDS = 200
+
 PROFILED_TABLES = [
     "customer",
     "orders",
@@ -142,9 +148,17 @@ def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_pages(records: DataFrame, path: str) -> None:
-    """Page files of one page per line; a page holds one record, so that none is gathered."""
-    page = F.array(F.struct(*records.columns))
-    records.select(F.to_json(page, {"ignoreNullFields": "false"}).alias("value")).write.text(path)
+    """Files of one page per line: pages of 200 records, the last of a task
+    fewer, and one of none."""
+    number = F.floor(F.monotonically_increasing_id() / PAGE_RECORDS)
+    pages = (
+        records.withColumn("page", number)
+        .groupBy("page")
+        .agg(F.collect_list(F.struct(*records.columns)).alias("records"))
+        .select(F.to_json("records", {"ignoreNullFields": "false"}).alias("value"))
+    )
+    empty = records.sparkSession.range(1).select(F.lit("[]").alias("value"))
+    pages.union(empty).write.text(path)
 
 
 def bronze_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,6 +265,17 @@ def _profile_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: profile(table(spark, sf_dir, name))
 
 
+def profile_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with two columns that fail at run time: the others keep their figures."""
+    lines = table(spark, sf_dir, "lineitem")
+    broken = F.when(F.col("l_linenumber") > 1, F.raise_error(F.lit("unreadable")))
+    views = {
+        "l_broken": broken.otherwise(F.col("l_linenumber")).cast("int"),
+        "l_flag_number": F.col("l_returnflag").cast("int"),
+    }
+    return profile(lines.withColumns(views), isolate=True)
+
+
 def metadata_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = _stored_silver(spark, sf_dir)
     return catalogue(
@@ -288,11 +313,14 @@ def control_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def control_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs, of which the first is repeated after the second."""
     path = LakePaths(scratch_folder(spark)).control("silver")
-    for run in (RUN, NEXT_RUN):
+    for run in (RUN, NEXT_RUN, RUN):
         rows = _silver(spark, sf_dir, run)
-        append_rows(volume(rows, layout.SILVER_TABLE, layout.SILVER_STAMPS), path)
-    return spark.read.parquet(path)
+        append_rows(
+            volume(rows, layout.SILVER_TABLE, layout.SILVER_STAMPS), path, stamp=run.ts_proc
+        )
+    return read_rows(spark, path)
 
 
 def layer_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,13 +362,32 @@ def _run_stamps(df: DataFrame, key: str, moment: str) -> DataFrame:
 
 
 def _chain(spark: SparkSession, sf_dir: str) -> LakePaths:
+    pages, paths, fields = _inbox(spark, sf_dir)
+    run_all(spark, pages, paths, RUN, fields=fields, one_page_per_file=False)
+    return paths
+
+
+def _inbox(spark: SparkSession, sf_dir: str) -> tuple[str, LakePaths, list[str]]:
+    """The raw records as page files, beside a lake that is still empty."""
     folder = scratch_folder(spark)
     records = site_raw(spark, sf_dir)
     _write_pages(records, f"{folder}/pages")
-    paths = LakePaths(f"{folder}/lake")
-    run_all(
-        spark, f"{folder}/pages", paths, RUN, fields=records.columns, one_page_per_file=False
-    )
+    return f"{folder}/pages", LakePaths(f"{folder}/lake"), records.columns
+
+
+def _retried_chain(spark: SparkSession, sf_dir: str) -> LakePaths:
+    """A run whose landing is repeated, whose Gold fails once, and that is then
+    started again, twice."""
+    pages, paths, fields = _inbox(spark, sf_dir)
+    landing = {"fields": fields, "one_page_per_file": False}
+    for _ in range(2):
+        run_bronze(spark, pages, paths, RUN, **landing)
+    run_silver(spark, paths, RUN)
+    # Spark refuses to write a table in no files.
+    with suppress(IllegalArgumentException):
+        run_gold(spark, paths, RUN, files=0)
+    for _ in range(2):
+        run_all(spark, pages, paths, RUN, **landing)
     return paths
 
 
@@ -352,18 +399,50 @@ def chain_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _chain(spark, sf_dir).gold, layout.GOLD_SCHEMA)
 
 
+def _catalogues(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    silver, gold = (read_table(spark, paths.metadata(zone)) for zone in ("silver", "gold"))
+    return silver.unionByName(gold)
+
+
+def _controls(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    silver, gold = (read_rows(spark, paths.control(zone)) for zone in ("silver", "gold"))
+    return silver.unionByName(gold, allowMissingColumns=True)
+
+
 def chain_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = _chain(spark, sf_dir)
-    return spark.read.parquet(paths.metadata("silver")).unionByName(
-        spark.read.parquet(paths.metadata("gold"))
-    )
+    return _catalogues(spark, _chain(spark, sf_dir))
 
 
 def chain_control(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = _chain(spark, sf_dir)
-    return spark.read.parquet(paths.control("silver")).unionByName(
-        spark.read.parquet(paths.control("gold")), allowMissingColumns=True
-    )
+    return _controls(spark, _chain(spark, sf_dir))
+
+
+def retry_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _retried_chain(spark, sf_dir).gold, layout.GOLD_SCHEMA)
+
+
+def retry_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _controls(spark, _retried_chain(spark, sf_dir))
+
+
+def landing_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month of two runs, of which the first lands again after the second."""
+    month = LakePaths(scratch_folder(spark)).raw_month(RUN)
+    records = _bronze(document_records(spark, sf_dir))
+    for run, parity in ((RUN, 0), (NEXT_RUN, 1), (RUN, 0)):
+        half = records.where(F.col("id").cast("bigint") % 2 == parity)
+        land_month(half, month, layout.BRONZE_COLUMNS, stamp=run.ts_proc)
+    landed = read_month(spark, month)
+    return landed.select("id", "name", "brewery_type", "city", "state", "n_chars")
+
+
+def replaced_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of one run, replaced by that of the next."""
+    path = LakePaths(scratch_folder(spark)).silver
+    for run in (RUN, NEXT_RUN):
+        rows = _silver(spark, sf_dir, run)
+        write_partitioned(rows, path, layout.SILVER_KEYS, stamp=run.ts_proc)
+    return read_table(spark, path, layout.SILVER_SCHEMA)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -382,6 +461,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_site": profile_site,
     "profile_approx": profile_approx,
     **{f"profile_{name}": _profile_table(name) for name in PROFILED_TABLES},
+    "profile_broken": profile_broken,
     "metadata_silver": metadata_silver,
     "metadata_gold": metadata_gold,
     "metadata_lineitem": metadata_lineitem,
@@ -396,4 +476,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chain_gold": chain_gold,
     "chain_catalogue": chain_catalogue,
     "chain_control": chain_control,
+    "retry_gold": retry_gold,
+    "retry_control": retry_control,
+    "landing_retry": landing_retry,
+    "replaced_silver": replaced_silver,
 }

@@ -1,4 +1,8 @@
-"""The Bronze month: CSV files with a header, appended run by run."""
+"""The Bronze month: CSV files with a header, appended run by run.
+
+A landing under a run stamp is published (``tarn.sources.published``): it counts
+once it is complete, and a repeated one takes the place of the first.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.functions import field
+from tarn.sources.published import newest_per_stamp, publish, run_folders
 
 # Quotes are doubled inside quoted cells, and cells may hold line breaks. Left to
 # its default, NUL, the escape of the escape would drop NULs next to quotes.
@@ -32,9 +37,13 @@ def land_month(
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
     max_bytes_per_file: int = MAX_BYTES_PER_FILE,
     compression: str = "none",
+    stamp: int | None = None,
 ) -> None:
     """Append ``df`` to the month folder ``path``.
 
+    With a ``stamp`` it replaces what landed under the same stamp before, and
+    nothing else.
+
     The ``known`` columns come first, in that order and blank where absent, and
     the others follow by name. Rows with others go to a folder of their own
     inside the month, one per set of names, so the files of a folder share one
@@ -59,16 +68,24 @@ def land_month(
         nested = isinstance(df.schema[name].dataType, (T.ArrayType, T.MapType, T.StructType))
         cells.append((F.to_json(field(name)) if nested else field(name)).alias(name))
     rows = df.select(*cells)
-    (
-        rows.write.mode("append")
-        .options(**DIALECT)
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("maxRecordsPerFile", min(max_records_per_file, _fitting(rows, max_bytes_per_file)))
-        .option("compression", compression)
-        .csv(f"{path}/{_header_folder(extras)}" if extras else path)
-    )
+    records = min(max_records_per_file, _fitting(rows, max_bytes_per_file))
+
+    def save(cells: DataFrame, folder: str) -> None:
+        (
+            cells.write.mode("append")
+            .options(**DIALECT)
+            .option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .option("maxRecordsPerFile", records)
+            .option("compression", compression)
+            .csv(f"{folder}/{_header_folder(extras)}" if extras else folder)
+        )
+
+    if stamp is None:
+        save(rows, path)
+    else:
+        publish(rows, path, stamp, save, newest_per_stamp)
 
 
 def _fitting(rows: DataFrame, max_bytes: int) -> int:
@@ -88,9 +105,11 @@ def read_month(spark: SparkSession, path: str) -> DataFrame:
     by column name. Spark reads CSV by position, so the
     header of a folder is read first and then required of all its files: one
     whose columns differ fails the read instead of filling the wrong columns,
-    and so does a row with more or fewer cells than its header.
+    and so does a row with more or fewer cells than its header. Of landings
+    under one stamp the last complete one counts, and it must have all its files.
     """
-    folders = [_read_folder(spark, folder) for folder in _folders(spark, path) or [path]]
+    landings = [path, *run_folders(spark, path, newest_per_stamp)]
+    folders = [_read_folder(spark, folder) for folder in _folders(spark, landings) or [path]]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), folders)
 
 
@@ -98,12 +117,12 @@ def _header_folder(extras: Sequence[str]) -> str:
     return "fields-" + hashlib.sha256("\n".join(extras).encode()).hexdigest()[:16]
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """The month's folders that hold files. Lists names only and opens no file."""
+def _folders(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The folders that hold files. Lists names only and opens no file."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .load(path)
+        .load(paths)
     )
     folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
     return sorted(row.folder for row in files.select(folder).distinct().collect())

@@ -32,9 +32,6 @@ class LakePaths:
     def gold(self) -> str:
         return f"{self.root}/gold/{self.table}"
 
-    def staging(self, zone: str) -> str:
-        return f"{self.root}/staging/{zone}/{self.table}"
-
     def metadata(self, zone: str) -> str:
         return f"{self.root}/metadata/{zone}/{self.table}"
 

@@ -20,7 +20,7 @@ def bronze(df):
 
 
 def csv_files(path):
-    return glob.glob(f"{path}/*.csv")
+    return glob.glob(f"{path}/**/*.csv", recursive=True)
 
 
 def test_pages_are_one_bag_of_text(spark, tmp_path):

@@ -328,3 +328,30 @@ def test_shape(spark):
     df = spark.range(7).selectExpr("id", "id AS b")
     assert shape(df).collect() == [(7, 2)]
     assert shape(df.limit(0)).collect() == [(0, 2)]
+
+
+@pytest.mark.parametrize("approx", [False, True])
+def test_a_column_that_fails_costs_its_own_figures_only(spark, approx):
+    df = spark.range(100).select(
+        *[(F.col("id") % n).alias(f"c{n}") for n in range(1, 20)],
+        F.when(F.col("id") > 50, F.raise_error(F.lit("broken"))).otherwise(F.lit(1)).alias("bad"),
+        F.concat(F.lit("x"), F.col("id").cast("string")).cast("int").alias("worse"),
+    )
+    with pytest.warns(UserWarning, match="no figures for column") as told:
+        out = profile(df, approx=approx, isolate=True)
+    assert sum("no figures" in str(warning.message) for warning in told) == 2
+    rows = {r.coluna: tuple(r)[1:] for r in out.collect()}
+    assert len(rows) == 21
+    assert rows["bad"] == rows["worse"] == ("int", None, None, None)
+    assert all(rows[f"c{n}"] == ("bigint", 0, 0.0, n) for n in range(1, 6))
+    assert [r.coluna for r in out.collect()][-2:] == ["bad", "worse"]
+
+
+def test_isolation_gives_the_same_figures(silver):
+    assert figures(profile(silver, isolate=True)) == SILVER_PROFILE
+
+
+def test_a_frame_whose_every_column_fails_raises(spark):
+    df = spark.range(3).select(F.raise_error(F.lit("all broken")).alias("a"))
+    with pytest.raises(Exception, match="all broken"):
+        profile(df, isolate=True)

@@ -13,7 +13,9 @@ from tarn.sources import (
     LakePaths,
     append_rows,
     local_rows,
+    read_rows,
     read_table,
+    run_records,
     scratch_folder,
     write_partitioned,
     write_table,
@@ -116,8 +118,8 @@ def test_a_hot_key_is_written_by_many_tasks(spark, tmp_path):
         write_partitioned(df, str(tmp_path), ["country", "state"])
     finally:
         spark.conf.set(name, before)
-    assert len(parts(tmp_path / "country=hot")) > 3
-    assert len(parts(tmp_path / "country=c1")) <= 2
+    assert len(parts(tmp_path / "_runs/*/country=hot")) > 3
+    assert len(parts(tmp_path / "_runs/*/country=c1")) <= 2
     back = read_table(spark, str(tmp_path), KEYED)
     assert back.count() == back.select("id").distinct().count() == 300_000
 
@@ -164,3 +166,83 @@ def test_local_rows_keep_the_schema_and_their_size(spark):
     assert "LocalTableScan" in plan_of(df)
     with pytest.raises(ValueError):
         local_rows(spark, [("x",)], schema)
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_a_write_that_dies_leaves_the_old_rows(spark, tmp_path, partitioned):
+    """The failing column is computed by the writing tasks, after the shuffle."""
+    path, keys = str(tmp_path), ["country", "state"]
+
+    def write(df):
+        if partitioned:
+            write_partitioned(df, path, keys, stamp=2)
+        else:
+            write_table(df, path, stamp=2)
+
+    old = [(1, "a", "x", "n"), (2, "b", "y", "n")]
+    write(spark.createDataFrame(old, KEYED))
+    lost = spark.range(100).selectExpr("id", "concat('c', id % 3) AS country", "'s' AS state")
+    failing = F.when(F.col("id") == 7, F.raise_error(F.lit("lost"))).otherwise(F.lit("n"))
+    lost = lost.repartition(4, "country").withColumn("note", failing)
+    with pytest.raises(Exception, match="lost"):
+        write(lost)
+    assert sorted(map(tuple, read_table(spark, path, KEYED).collect())) == old
+    write(spark.createDataFrame([(3, "a", "x", "n")], KEYED))
+    assert read_table(spark, path, KEYED).collect() == [(3, "a", "x", "n")]
+
+
+def test_a_driver_lost_before_the_record_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    """All files of the new run are there; only its record is not."""
+    import tarn.sources.published as module
+
+    path = str(tmp_path)
+    write_table(spark.range(5), path)
+    monkeypatch.setattr(module, "astuple", lambda record: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        write_table(spark.range(9), path)
+    monkeypatch.undo()
+    assert len(os.listdir(f"{path}/_runs")) == 2
+    assert read_table(spark, path).count() == 5
+
+
+def test_the_run_before_stays_for_its_readers(spark, tmp_path):
+    path = str(tmp_path)
+    frames = []
+    for rows in (1, 2, 3):
+        write_table(spark.range(rows), path, stamp=rows)
+        frames.append(read_table(spark, path))
+    assert frames[1].count() == 2 and frames[2].count() == 3
+    assert len(os.listdir(f"{path}/_runs")) == 2
+    records = run_records(spark, path)
+    assert [(r.number, r.stamp, r.n_rows) for r in records] == [(1, 1, 1), (2, 2, 2), (3, 3, 3)]
+
+
+def test_rows_of_a_stamp_are_appended_once(spark, tmp_path):
+    path, schema = str(tmp_path), T.StructType.fromDDL("name string, n long")
+    append_rows(local_rows(spark, [("plain", 0)], schema), path)
+    for stamp, n in ((1, 1), (2, 2), (1, 3)):
+        append_rows(local_rows(spark, [("t", n)], schema), path, stamp)
+    assert sorted(map(tuple, read_rows(spark, path).collect())) == [
+        ("plain", 0), ("t", 2), ("t", 3),
+    ]
+
+
+def test_a_table_written_by_others_is_read_as_it_is(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "plain"))
+    assert read_table(spark, str(tmp_path / "plain")).count() == 3
+    assert read_rows(spark, str(tmp_path / "plain")).count() == 3
+
+
+def test_an_empty_table_is_published_unless_refused(spark, tmp_path):
+    path = str(tmp_path)
+    write_table(spark.range(3), path)
+
+    def refuse(rows):
+        if not rows:
+            raise ValueError("empty")
+
+    with pytest.raises(ValueError, match="empty"):
+        write_table(spark.range(0), path, accept=refuse)
+    assert read_table(spark, path).count() == 3
+    write_table(spark.range(0), path)
+    assert read_table(spark, path).count() == 0
