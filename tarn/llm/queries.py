@@ -18,6 +18,7 @@ from tarn.llm.packing import pack_documents
 from tarn.llm.pii import BASE_KINDS as PII_KINDS
 from tarn.llm.pii import find_personal_data
 from tarn.llm.quality import classify
+from tarn.llm.runs import find_runs, planted_runs
 from tarn.llm.secret_scan import BASE_KINDS as SECRET_KINDS
 from tarn.llm.secret_scan import find_secrets
 from tarn.llm.simhash import simhash_groups
@@ -95,6 +96,10 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_likeness(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_runs(planted_runs(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_source_mixing": op2_source_mixing,
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 # A control string's opening bracket, backslashes and tail, as in tarn.llm.chat.
