@@ -17,6 +17,7 @@ from tarn.llm.mixing import mixing_rates
 from tarn.llm.packing import pack_documents
 from tarn.llm.pii import BASE_KINDS as PII_KINDS
 from tarn.llm.pii import find_personal_data
+from tarn.llm.prefix_trie import prefix_trie, rebuilt
 from tarn.llm.quality import classify
 from tarn.llm.runs import find_runs, planted_runs
 from tarn.llm.secret_scan import BASE_KINDS as SECRET_KINDS
@@ -100,6 +101,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_runs(planted_runs(table(spark, sf_dir, "documents")))
 
 
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, ids = rebuilt(table(spark, sf_dir, "conversations"))
+    return prefix_trie(turns, ids)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_source_mixing": op2_source_mixing,
@@ -112,11 +118,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_document_fingerprints": op10_document_fingerprints,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
 }
 
 # A control string's opening bracket, backslashes and tail, as in tarn.llm.chat.
 ESCAPED_SQL = r"[<\[]\\*(?:\||/?s>|/?INST\]|<SYS>>|</SYS>>)"
 
+# CRC-32 of a decimal number: one byte after the other, one bit after the other.
+CRC_BIT = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+CRC32_SQL = f"""xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: ascii(d)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: {CRC_BIT})),
+    4294967295::BIGINT)"""
+
 ORACLES: dict[str, str] = {
     "op7_chat_formatting": rf"""
         WITH turns AS (
@@ -146,4 +160,53 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op12_conversation_prefix_trie": f"""
+        WITH ids AS (
+            SELECT conv_id, {CRC32_SQL} % 9 AS h
+            FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+        placed AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS place
+            FROM conversations WHERE conv_id IS NOT NULL),
+        rebuilt AS (
+            SELECT ids.conv_id, role, text, place
+            FROM ids JOIN placed ON placed.conv_id = ids.conv_id - ids.conv_id % 5
+            WHERE place < h
+            UNION ALL
+            SELECT ids.conv_id, role, text, place
+            FROM ids JOIN placed ON placed.conv_id = ids.conv_id WHERE place >= h),
+        path AS (
+            SELECT conv_id, row_number() OVER w AS depth, strlen(text) AS bytes,
+                   list({{'role': role, 'text': text}}) OVER w AS turns
+            FROM rebuilt
+            WINDOW w AS (PARTITION BY conv_id ORDER BY place
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            UNION ALL SELECT conv_id, 0, 0, [] FROM ids),
+        deepest AS (SELECT conv_id, max(depth) AS n FROM path GROUP BY conv_id),
+        nodes AS (
+            SELECT turns, depth, min(path.conv_id) AS conv_id, count(*) AS n_convs,
+                   any_value(bytes) AS bytes,
+                   sha256(coalesce(string_agg(CAST(path.conv_id AS VARCHAR), ','
+                       ORDER BY path.conv_id) FILTER (depth = n), '')) AS ends_sha256
+            FROM path JOIN deepest ON path.conv_id = deepest.conv_id
+            GROUP BY turns, depth),
+        linked AS (
+            SELECT nodes.*, up.conv_id AS parent_conv_id,
+                   (SELECT count(*) FROM nodes AS below
+                    WHERE below.depth = nodes.depth + 1
+                      AND below.turns[:nodes.depth] = nodes.turns) AS n_children
+            FROM nodes LEFT JOIN nodes AS up
+              ON up.depth = nodes.depth - 1 AND up.turns = nodes.turns[:nodes.depth - 1]),
+        sums AS (
+            SELECT above.turns, above.depth,
+                   CAST(sum(CASE WHEN below.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT)
+                       AS n_leaves,
+                   CAST(sum((below.n_convs - 1) * below.bytes) AS BIGINT) AS saved_tokens
+            FROM linked AS below
+            JOIN path AS above
+              ON above.conv_id = below.conv_id AND above.depth <= below.depth
+            GROUP BY above.turns, above.depth)
+        SELECT conv_id, linked.depth, parent_conv_id, n_convs, n_children, n_leaves,
+               saved_tokens, ends_sha256
+        FROM linked JOIN sums ON sums.turns = linked.turns AND sums.depth = linked.depth""",
 }
