@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarn.llm.chat import CONTROL_STRINGS, format_chat, read_back
+from tarn.llm.chosen_path import near_duplicates
 from tarn.llm.common import body, table
 from tarn.llm.exact_dedup import exact_groups
 from tarn.llm.html_text import extract_text
@@ -106,6 +107,10 @@ def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     return prefix_trie(turns, ids)
 
 
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_source_mixing": op2_source_mixing,
@@ -119,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_document_fingerprints": op10_document_fingerprints,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
+    "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
 # A control string's opening bracket, backslashes and tail, as in tarn.llm.chat.
