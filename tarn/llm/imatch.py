@@ -17,7 +17,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
+from dataclasses import dataclass
 from math import isqrt
 
 import numpy as np
@@ -39,17 +40,19 @@ LEAST_SUBSETS = 8
 COPY_SEEDS = np.array([xxhash.xxh3_64_intdigest(str(copy)) for copy in range(COPIES)], np.uint64)
 # How many of the rarest levels a subset takes, for each rate.
 RANKS = LEVELS - 1 - np.arange(LEVELS)
-HASH_DIGITS = 4
-HEX = [f"{value:04x}" for value in range(1 << 4 * HASH_DIGITS)]
-EMPTY = "0" * HASH_DIGITS
+NO_PLACES = np.zeros(0, np.int64)
+# Where a copy's counts begin, of a number for each rank.
+COPY_CELLS = np.arange(COPIES) * (LEVELS + 1)
 
 # Distinct terms that a task counts before it sends its counts on, and words a
 # worker remembers.
 HELD_TERMS = 400_000
 # Ranges of the corpus in id order: per shuffle partition, so that their loads
-# even out, and per million documents at least.
+# even out, and per million documents at least. The driver plans so many at most;
+# a range is read as a stream, so beyond them ranges grow.
 RANGES_PER_PARTITION = 4
 RANGES_PER_MILLION = 160
+MOST_RANGES = 20_000
 
 WORDS = re.compile(r"\w+")
 
@@ -101,49 +104,126 @@ def lexicon(
 
 
 class Known(dict):
-    """Maps a word to its hash if it is in the lexicon; remembers the first it meets."""
+    """Maps a word to its place in the lexicon, or -1; remembers the first it meets."""
 
     def __init__(self, terms: np.ndarray):
         super().__init__()
-        self.terms = frozenset(terms.tolist())
+        self.places = {term: place for place, term in enumerate(terms.tolist())}
 
-    def __missing__(self, word: str) -> int | None:
-        value = term_hash(word)
-        found = value if value in self.terms else None
+    def __missing__(self, word: str) -> int:
+        found = self.places.get(term_hash(word), -1)
         if len(self) < HELD_TERMS:
             self[word] = found
         return found
 
 
+@dataclass(frozen=True)
+class Read:
+    """A text's words: those before the last word that reaches into the part an
+    edit keeps, with their places in the lexicon, and the lowered rest."""
+
+    text: str
+    head: frozenset[str]
+    places: np.ndarray
+    rest: str
+    kept: str
+
+    @property
+    def cut(self) -> int:
+        return len(self.text) // 4
+
+
+def _is_word(letter: str) -> bool:
+    """Whether ``WORDS`` takes the character."""
+    return letter.isalnum() or letter == "_"
+
+
+def _lowers_alone(text: str) -> bool:
+    """Whether each character's lower case is one character, whatever is around it."""
+    return "\u0130" not in text and "\u03a3" not in text
+
+
 class Fingerprints:
-    """Fingerprints of texts under one lexicon."""
+    """Fingerprints of texts under one lexicon: 16-bit hashes of the whole lexicon
+    and of every subset.
+
+    A subset in which the text has no term gives zero. A text with no term in
+    the lexicon is hashed by all its terms.
+    """
 
     def __init__(self, terms: np.ndarray):
         self.known = Known(terms)
+        self.terms = terms.view(np.uint64)
+        self.ranks = _ranks(self.terms)
+
+    def read(self, text: str) -> Read:
+        """The words that the text and its edited form share are looked up once."""
+        if not _lowers_alone(text):
+            return Read(text, frozenset(), NO_PLACES, text.lower(), "")
+        low = text.lower()
+        keep = len(text) - len(text) // 4
+        start = keep
+        while start and _is_word(low[start - 1]):
+            start -= 1
+        head = frozenset(WORDS.findall(low[:start]))
+        return Read(text, head, self._places(head), low[start:], low[start:keep])
+
+    def _places(self, words: Set[str]) -> np.ndarray:
+        places = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return places[places >= 0]
 
     def of(self, text: str) -> str:
-        """Hashes of the whole lexicon and of every subset, each four hex digits.
-
-        A subset in which the text has no term gives zeros. A text with no term
-        in the lexicon is hashed by all its terms.
-        """
-        words = set(WORDS.findall(text.lower()))
-        hashes = [h for h in map(self.known.__getitem__, words) if h is not None]
-        if not hashes:
-            hashes = [term_hash(word) for word in words]
+        """The fingerprint of a text, four hex digits for each hash."""
+        return printed(self.hashes(self.read(text)))
+
+    def hashes(self, read: Read) -> np.ndarray:
+        return self._of(read.head, read.places, read.rest)
+
+    def edit_hashes(self, read: Read, following: str, edited: str) -> np.ndarray:
+        """Of ``edited``: what an edit keeps of the text, then ``following``."""
+        if _lowers_alone(read.text) and _lowers_alone(following):
+            return self._of(read.head, read.places, read.kept + following.lower())
+        return self._of(frozenset(), NO_PLACES, edited.lower())
+
+    def _of(self, head: Set[str], places: np.ndarray, rest: str) -> np.ndarray:
+        others = set(WORDS.findall(rest)) - head
+        at = np.sort(np.concatenate((places, self._places(others))))
+        if len(at):
+            return _print(self.terms[at], self.ranks[at])
+        hashes = [term_hash(word) for word in (*head, *others)]
         terms = np.sort(np.array(hashes, np.int64)).view(np.uint64)
-        # A term is in a copy's subset of rate 1 / 2**n if n low bits are zero.
-        mixed = _mix(terms[None, :] ^ COPY_SEEDS[:, None])
-        zeros = np.bitwise_count((mixed & -mixed) - np.uint64(1))
-        # Rarest first and then by hash: each subset is a run from the start.
-        rank = (LEVELS - np.minimum(zeros, LEVELS)).astype(np.uint8)
-        ordered = terms[np.argsort(rank, axis=1, kind="stable")]
-        sizes = (rank[:, None, :] <= RANKS[None, :, None]).sum(axis=2).tolist()
-        parts = [_hash_terms(terms.tobytes())]
-        for row, ends in zip(ordered, sizes, strict=True):
-            held = row.tobytes()
-            parts += [_hash_terms(held[: 8 * end]) for end in ends]
-        return "".join(parts)
+        return _print(terms, _ranks(terms))
+
+
+def _ranks(terms: np.ndarray) -> np.ndarray:
+    """How common the subsets are that hold a term, for each copy: (terms, copies).
+
+    A term is in a copy's subset of rate 1 / 2**n if n low bits are zero.
+    """
+    mixed = _mix(terms[:, None] ^ COPY_SEEDS[None, :])
+    zeros = np.bitwise_count((mixed & -mixed) - np.uint64(1))
+    return (LEVELS - np.minimum(zeros, LEVELS)).astype(np.uint8)
+
+
+def _print(terms: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The hashes of sorted ``terms``: the whole, then copy by copy and rate by rate."""
+    # Rarest first and then by hash: each subset is a run from the start.
+    by_copy = np.ascontiguousarray(ranks.T)
+    ordered = terms[np.argsort(by_copy, axis=1, kind="stable")]
+    cells = by_copy + COPY_CELLS[:, None]
+    counts = np.bincount(cells.ravel(), minlength=COPIES * (LEVELS + 1))
+    sizes = counts.reshape(COPIES, LEVELS + 1).cumsum(axis=1)[:, RANKS]
+    digest = xxhash.xxh3_64_intdigest
+    found = [digest(terms.tobytes()) % 0xFFFF + 1 if len(terms) else 0]
+    for row, ends in zip(ordered, (8 * sizes).tolist(), strict=True):
+        held = row.tobytes()
+        found += [digest(held[:end]) % 0xFFFF + 1 if end else 0 for end in ends]
+    return np.array(found, np.uint16)
+
+
+def printed(hashes: np.ndarray) -> str:
+    """Four hex digits for each hash."""
+    return hashes.astype(">u2").tobytes().hex()
 
 
 def _mix(values: np.ndarray) -> np.ndarray:
@@ -153,29 +233,24 @@ def _mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
-def _hash_terms(terms: bytes) -> str:
-    if not terms:
-        return EMPTY
-    return HEX[xxhash.xxh3_64_intdigest(terms) % 0xFFFF + 1]
-
-
 def likeness(one: str, other: str) -> float:
     """0 to 1: the largest share, over the rates, of subsets that agree.
 
     Subsets empty on both sides don't count, and a rate counts if enough are
     not. Equal fingerprints give 1.
     """
-    if one == other:
+    return _likeness(*(np.frombuffer(bytes.fromhex(text), ">u2") for text in (one, other)))
+
+
+def _likeness(one: np.ndarray, other: np.ndarray) -> float:
+    same = one == other
+    if same.all():
         return 1.0
-    a = [one[i : i + HASH_DIGITS] for i in range(HASH_DIGITS, len(one), HASH_DIGITS)]
-    b = [other[i : i + HASH_DIGITS] for i in range(HASH_DIGITS, len(other), HASH_DIGITS)]
-    best = 0.0
-    for level in range(LEVELS):
-        pairs = list(zip(a[level::LEVELS], b[level::LEVELS], strict=True))
-        held = [x == y for x, y in pairs if x != EMPTY or y != EMPTY]
-        if len(held) >= LEAST_SUBSETS:
-            best = max(best, sum(held) / len(held))
-    return best
+    held = ((one != 0) | (other != 0))[1:].reshape(COPIES, LEVELS)
+    counts = held.sum(axis=0)
+    agreeing = (held & same[1:].reshape(COPIES, LEVELS)).sum(axis=0)
+    enough = counts >= LEAST_SUBSETS
+    return float((agreeing[enough] / counts[enough]).max(initial=0.0))
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -231,7 +306,8 @@ def _in_id_order(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     ids = picked(docs, doc_id=doc_id).select(key.alias("id_key"))
     total = ids.count()
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(partitions * RANGES_PER_PARTITION, total * RANGES_PER_MILLION // 1_000_000)
+    wanted = max(partitions * RANGES_PER_PARTITION, total * RANGES_PER_MILLION // 1_000_000)
+    ranges = min(wanted, MOST_RANGES)
     shares = [n / ranges for n in range(1, ranges)]
     found = ids.agg(F.percentile_approx("id_key", shares, 20 * ranges)).first()[0]
     cuts = sorted(set(found or []))
@@ -296,25 +372,28 @@ def edit_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             for bucket, place, owner, content in zip(
                 *(values(batch.column(i)) for i in range(4)), strict=True
             ):
-                own = prints.of(content)
+                read = prints.read(content)
+                own = prints.hashes(read)
                 if held is not None and held[0] == bucket:
                     _, last_owner, last, last_print = held
-                    cut = len(last) // 4
-                    edited = last[: len(last) - cut] + content[:cut]
-                    edited_print = prints.of(edited) if cut else last_print
+                    following = content[: last.cut]
+                    edited = last.text[: len(last.text) - last.cut] + following
+                    edited_print = (
+                        prints.edit_hashes(last, following, edited) if last.cut else last_print
+                    )
                     rows.append(
                         (
                             last_owner,
-                            len(last),
+                            len(last.text),
                             hashlib.sha256(edited.encode()).hexdigest(),
-                            last_print,
-                            edited_print,
-                            likeness(last_print, edited_print),
-                            likeness(last_print, own),
+                            printed(last_print),
+                            printed(edited_print),
+                            _likeness(last_print, edited_print),
+                            _likeness(last_print, own),
                         )
                     )
                 # A range's follower is its last row and has no row of its own.
-                held = None if place else (bucket, owner, content, own)
+                held = None if place else (bucket, owner, read, own)
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
