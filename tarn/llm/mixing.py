@@ -3,26 +3,27 @@
 A classifier learned from a labelled table gives every document posteriors over
 the domains. Rates, how often each document is used, are then fitted: the
 expected tokens of a domain are the sum over documents of rate x tokens x
-posterior, and the rates that bring them to the targets in the least squares
-sense are sought, those nearest to equal rates and never below the lowest one.
-
-Such a rate is the equal one less the document's posteriors times one number per
-domain, or the lowest rate. So only those numbers, the dual of the problem, are
-solved for, by Newton steps: a step is one aggregation to one number per domain
-and one per pair of domains, a rate is a function of the document and the
-numbers, and nothing grows with the corpus but the scan.
+posterior, and the rates, never below the lowest one, bring them to the targets
+in the least squares sense, by projected gradient.
+
+The gradient at a document's rate is the product of its posteriors with one
+number per domain, which come from the domains' residuals. So a step is: sum up
+the expected tokens (one aggregation to a few numbers per domain, for several
+step lengths at once), turn the residuals into these numbers, move every rate
+against its gradient, and put those that fall below the lowest rate back on it.
+A rate is a function of the document's posteriors and the steps taken; every
+``STEPS_HELD`` steps the rates are written, so that few are taken again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tarn.llm.common import body, filter_pages, flag_members, hold, picked, release, stored, values
 from tarn.llm.models import fit as fit_classes
@@ -33,14 +34,22 @@ from tarn.llm.ngrams import Featurizer, margin, sigmoid
 MAX_LABELLED = 4_000
 EPOCHS = 3
 FEATURES = {"orders": 1, "shape_orders": 0, "bits": 17}
-# Steps stop when every domain is this close to its target, or when the optimum is
-# found: no domain's tokens are further from what it asks than this share of all.
+# Steps stop when every domain is this close to its target, or at the optimum. A
+# step that gains less than ``SLOW`` of the error starts the descent anew, once,
+# from the best single step; after that, one that gains less than ``LEAST_GAIN``
+# ends it.
 CLOSE = 1e-4
+SLOW = 0.1
+LEAST_GAIN = 0.001
+# The best single step is found when no domain's tokens are further from what it
+# asks than this share of all; how much its distance from equal rates weighs
+# beside the error; and the shortest part of a change to it that is tried.
 OPTIMAL = 1e-6
-# How much the distance from equal rates weighs beside the error, and the shortest
-# part of a step that is tried.
 EQUAL_WEIGHT = 1e-10
-LEAST_STEP = 1e-6
+LEAST_PART = 1e-6
+# Step lengths that are tried together, and steps between two written tables.
+LENGTHS = np.array([2.0, 1.0, 0.5, 0.25, 0.125, 1 / 16, 1 / 64, 1 / 256])
+STEPS_HELD = 20
 
 POSTERIOR_SCHEMA = "doc_id bigint, n_tokens bigint, posterior array<double>"
 
@@ -90,96 +99,199 @@ def _matrix(column: pa.Array, domains: int) -> np.ndarray:
 @dataclass(frozen=True)
 class Fit:
     """What makes a document's rate from its posteriors: the rate all start from,
-    the lowest one, and how strongly each domain pulls rates down."""
+    the lowest one, and the steps, each a number per domain."""
 
     start: float
     lowest: float
-    pull: np.ndarray
+    steps: tuple[np.ndarray, ...] = ()
 
 
-def _rates(chances: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
-    """The rates, and which of them are above the lowest and move with the pull."""
-    free = fit.start - chances @ fit.pull
-    return np.maximum(fit.lowest, free), free > fit.lowest
+def _moved(rates: np.ndarray, chances: np.ndarray, step: np.ndarray, lowest: float) -> np.ndarray:
+    """One projected step: against the gradient, and back to the lowest rate."""
+    return np.maximum(lowest, rates - chances @ step)
 
 
-def _expected(members: DataFrame, domains: int, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens per domain at the rates of ``fit``, and the token-weighted products,
-    domain by domain, of the posteriors of documents whose rates move."""
+def _rates(chances: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
+    """The rates after all steps, and which of them are above the lowest."""
+    rates = np.full(len(chances), fit.start)
+    for step in fit.steps:
+        rates = _moved(rates, chances, step, fit.lowest)
+    return rates, rates > fit.lowest
+
+
+def _taken(
+    batch: pa.RecordBatch, domains: int, steps: list[np.ndarray], lowest: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """The posteriors of a batch, and its rates after ``steps``."""
+    chances = _matrix(batch.column("posterior"), domains)
+    rates = batch.column("rate").to_numpy(zero_copy_only=False)
+    for step in steps:
+        rates = _moved(rates, chances, step, lowest)
+    return chances, rates
+
+
+class Descent:
+    """The rates of ``members`` on their way, and sums over them."""
+
+    def __init__(self, members: DataFrame, domains: int, start: float, lowest: float):
+        self.state = members.select("n_tokens", "posterior", F.lit(start).alias("rate"))
+        self.domains, self.lowest = domains, lowest
+        self.held: list[np.ndarray] = []
+
+    def sums(self, step: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each length of ``step``, the tokens per domain after it, and the
+        token-weighted products, domain by domain, of the posteriors of
+        documents whose rate is then above the lowest."""
+        shape = (len(lengths), self.domains + 1, self.domains)
+        domains, held, lowest = self.domains, list(self.held), self.lowest
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(shape)
+            for batch in batches:
+                chances, rates = _taken(batch, domains, held, lowest)
+                tokens = batch.column("n_tokens").to_numpy(zero_copy_only=False)
+                for n, length in enumerate(lengths.tolist()):
+                    ahead = _moved(rates, chances, length * step, lowest)
+                    free = tokens * (ahead > lowest)
+                    total[n, 0] += (ahead * tokens) @ chances
+                    total[n, 1:] += chances.T @ (chances * free[:, None])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(total.size, dtype=np.int32)), pa.array(total.ravel())],
+                ["cell", "value"],
+            )
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((domains + 1, domains))
-        for batch in batches:
-            chances = _matrix(batch.column("posterior"), domains)
-            tokens = batch.column("n_tokens").to_numpy(zero_copy_only=False)
-            rates, moving = _rates(chances, fit)
-            total[0] += (rates * tokens) @ chances
-            total[1:] += chances.T @ (chances * (tokens * moving)[:, None])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(total.size, dtype=np.int32)), pa.array(total.ravel())],
-            ["cell", "value"],
+        rows = (
+            self.state.mapInArrow(add, "cell int, value double")
+            .groupBy("cell")
+            .agg(F.sum("value").alias("value"))
+            .collect()
         )
-
-    rows = (
-        members.select("n_tokens", "posterior")
-        .mapInArrow(sums, "cell int, value double")
-        .groupBy("cell")
-        .agg(F.sum("value").alias("value"))
-        .collect()
-    )
-    found = np.zeros((domains + 1) * domains)
-    for row in rows:
-        found[row["cell"]] = row["value"]
-    found = found.reshape(domains + 1, domains)
-    return found[0], found[1:]
+        found = np.zeros(shape).ravel()
+        for row in rows:
+            found[row["cell"]] = row["value"]
+        found = found.reshape(shape)
+        return found[:, 0], found[:, 1:]
+
+    def take(self, step: np.ndarray) -> None:
+        """Move on by ``step``, and write the rates once enough steps are held."""
+        self.held.append(step)
+        if len(self.held) < STEPS_HELD:
+            return
+        domains, held, lowest = self.domains, self.held, self.lowest
+
+        def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                _, rates = _taken(batch, domains, held, lowest)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("n_tokens"), batch.column("posterior"), pa.array(rates)],
+                    ["n_tokens", "posterior", "rate"],
+                )
+
+        self.state = stored(self.state.mapInArrow(move, self.state.schema))
+        self.held = []
+
+
+def best_single_step(
+    members: DataFrame, targets: np.ndarray, start: float, lowest: float, gram: np.ndarray
+) -> np.ndarray:
+    """The step from equal rates that leaves the least error.
+
+    Of the rates that meet the targets as nearly as any can, those nearest to
+    equal ones are one projected step away from them, and the step is the
+    optimum of a convex function made of finitely many quadratic pieces. Newton
+    changes reach it, each shortened until the slope along it falls.
+    """
+    domains, one = len(targets), np.ones(1)
+    total = targets.sum()
+    near_equal = EQUAL_WEIGHT * (gram + 1e-6 * np.trace(gram) * np.eye(domains))
+    equal = Descent(members, domains, start, lowest)
+    step = np.zeros(domains)
+    (tokens,), (free,) = equal.sums(step, one)
+    while True:
+        slope = near_equal @ step - (tokens - targets)
+        if np.abs(slope).max() <= OPTIMAL * total:
+            return step
+        change = np.linalg.solve(free + near_equal, -slope)
+        part = 1.0
+        while True:
+            ahead = step + part * change
+            (tokens,), (free,) = equal.sums(ahead, one)
+            left = near_equal @ ahead - (tokens - targets)
+            if abs(left @ change) <= 0.9 * abs(slope @ change):
+                break
+            part /= 2
+            if part < LEAST_PART:
+                # Rounding is all that is left of the slope.
+                return step
+        step = ahead
 
 
 def fit_rates(members: DataFrame, shares: np.ndarray, keep_all: bool = False) -> Fit:
-    """The rates of ``members`` that meet ``shares`` as nearly as any can.
+    """Rates of ``members`` that meet ``shares`` as nearly as any can.
 
     The targets are ``shares`` of the corpus's tokens, and rates are at least
     zero; with ``keep_all`` they are shares of as many tokens as the most
     over-represented domain needs to stay whole, and rates are at least one.
     Residuals are weighted by the inverse of the posteriors' products, and
-    targets that no rates can meet are met as nearly as these weights say. Of
-    rates that do so equally well, those nearest to equal ones are taken, by
-    tokens.
-
-    The dual is convex and made of finitely many quadratic pieces, so Newton
-    steps reach its optimum, each shortened until the slope along it falls.
+    targets that no rates can meet are met as nearly as these weights say.
+
+    The descent begins at equal rates. A gradient is scaled so that a step of
+    length one would meet the targets if the rates on the lowest one stayed
+    there; the plain one is tried where that gains little. Targets at the edge
+    of what rates can reach slow any descent down: it is then started anew from
+    ``best_single_step``, an optimum but for rounding, and goes on from there
+    for as long as a step gains anything to speak of.
     """
     domains = len(shares)
-    none = np.zeros(domains)
-    plain, gram = _expected(members, domains, Fit(1.0, 0.0, none))
+    none, one = np.zeros(domains), np.ones(1)
+    (plain,), (gram,) = Descent(members, domains, 1.0, 0.0).sums(none, one)
     total = plain.sum()
     if not total:
-        return Fit(1.0, 0.0, none)
+        return Fit(1.0, 0.0)
     if keep_all:
         total = max(m / w for m, w in zip(plain, shares, strict=True) if w > 0)
     targets = shares * total
-    near_equal = EQUAL_WEIGHT * (gram + 1e-6 * np.trace(gram) * np.eye(domains))
-    fit = Fit(total / plain.sum(), 1.0 if keep_all else 0.0, none)
-    tokens, moving = fit.start * plain, gram
+    whole = gram + 1e-6 * np.trace(gram) * np.eye(domains)
+    weights = np.linalg.inv(whole)
+    start, lowest = total / plain.sum(), 1.0 if keep_all else 0.0
+    descent = Descent(members, domains, start, lowest)
+    steps: list[np.ndarray] = []
+    tokens, free, anew = start * plain, gram, False
+
+    def error(expected: np.ndarray) -> float:
+        return (expected - targets) @ weights @ (expected - targets)
+
+    def tried(gradient: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        """The least error along ``gradient``, the step to it, and the sums there."""
+        ahead, products = descent.sums(gradient, LENGTHS)
+        best = min(range(len(LENGTHS)), key=lambda n: error(ahead[n]))
+        return error(ahead[best]), LENGTHS[best] * gradient, ahead[best], products[best]
+
     while True:
         residual = tokens - targets
+        now = error(tokens)
         if np.all(np.abs(residual) <= CLOSE * np.maximum(targets, total * 1e-3)):
-            return fit
-        slope = near_equal @ fit.pull - residual
-        if np.abs(slope).max() <= OPTIMAL * total:
-            return fit
-        step = np.linalg.solve(moving + near_equal, -slope)
-        part = 1.0
-        while True:
-            ahead = replace(fit, pull=fit.pull + part * step)
-            tokens, moving = _expected(members, domains, ahead)
-            left = near_equal @ ahead.pull - (tokens - targets)
-            if abs(left @ step) <= 0.9 * abs(slope @ step):
-                break
-            part /= 2
-            if part < LEAST_STEP:
-                # Rounding is all that is left of the slope.
-                return fit
-        fit = ahead
+            return Fit(start, lowest, tuple(steps))
+        slope = weights @ residual
+        scaled = np.linalg.solve(free @ weights @ free + 1e-9 * whole, free @ slope)
+        found = tried(scaled)
+        if found[0] > (1 - SLOW) * now:
+            found = min(found, tried(slope), key=lambda trial: trial[0])
+        if found[0] > (1 - SLOW) * now and not anew:
+            anew = True
+            single = best_single_step(members, targets, start, lowest, gram)
+            first = Descent(members, domains, start, lowest)
+            (tokens_there,), (free_there,) = first.sums(single, one)
+            if error(tokens_there) < now:
+                descent, tokens, free = first, tokens_there, free_there
+                descent.take(single)
+                steps = [single]
+                continue
+        if found[0] > (1 - LEAST_GAIN) * now:
+            return Fit(start, lowest, tuple(steps))
+        _, step, tokens, free = found
+        descent.take(step)
+        steps.append(step)
 
 
 def mixing_rates(
