@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -55,8 +56,13 @@ IDENTIFIER = re.compile(
 # What every bare identifier begins with, in lower case.
 KEY_PREFIXES = ("akia", "asia", "aroa", "aida")
 RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}", re.ASCII)
-# Bits per character below which a string doesn't look random.
-LEAST_ENTROPY = 3.4
+LEAST_LENGTH = 16
+# Between words that make up a name or a path.
+BREAKS = re.compile("[-_/+=]")
+# Bits per character below which a string doesn't look random: one with digits,
+# and one of letters alone.
+LEAST_ENTROPY = 3.0
+LETTERS_ENTROPY = 3.75
 # Code points between two parts of one credential, at most.
 SCOPE = 200
 PARAGRAPH = re.compile(r"\n[ \t\r]*\n")
@@ -67,17 +73,24 @@ SCAN_SCHEMA = (
 )
 
 
-def looks_random(candidate: str) -> bool:
-    """Upper and lower case, digits, and many different characters."""
-    if not (
-        any(c.isupper() for c in candidate)
-        and any(c.islower() for c in candidate)
-        and any(c.isdigit() for c in candidate)
-    ):
-        return False
+def entropy(candidate: str) -> float:
+    """Bits per character, by the characters' own shares."""
     size = len(candidate)
     shares = (n / size for n in Counter(candidate).values())
-    return -sum(p * math.log2(p) for p in shares) >= LEAST_ENTROPY
+    return -sum(p * math.log2(p) for p in shares)
+
+
+def looks_random(candidate: str) -> bool:
+    """Whether length and entropy are those of a key rather than of words.
+
+    Digits among letters are no words, and UUIDs, hexadecimal and base32 keys
+    are random at fewer bits than letters alone, of which a run without breaks
+    must be as mixed as no word is.
+    """
+    if any(c.isdigit() for c in candidate):
+        return any(c.isalpha() for c in candidate) and entropy(candidate) >= LEAST_ENTROPY
+    longest = max(BREAKS.split(candidate), key=len)
+    return len(longest) >= LEAST_LENGTH and entropy(longest) >= LETTERS_ENTROPY
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, int]]:
@@ -99,6 +112,24 @@ def base_spans(text: str) -> list[tuple[int, int, str, int]]:
     return found
 
 
+class Covered:
+    """The stretches that spans cover, to be asked which places they meet."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(end, self.ends[-1])
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        last = bisect_left(self.starts, end) - 1
+        return last >= 0 and self.ends[last] > start
+
+
 def credential_parts(
     text: str, base: list[tuple[int, int, str, int]]
 ) -> list[tuple[int, int, int, str, bool]]:
@@ -108,11 +139,7 @@ def credential_parts(
     spans.
     """
     parts = [(s, e, "id" if kind == "access" else "secret", False) for s, _, kind, e in base]
-    taken = sorted((s, e) for s, e, _, _ in parts)
-
-    def free(start: int, end: int) -> bool:
-        return not any(s < end and start < e for s, e in taken)
-
+    taken = Covered((s, e) for s, e, _, _ in parts)
     named = "=" in text or ":" in text
     lower = "" if named else text.lower()
     if named:
@@ -121,13 +148,15 @@ def credential_parts(
         parts += [
             (m.start(), m.end(), "id", True)
             for m in IDENTIFIER.finditer(text)
-            if free(m.start(), m.end())
+            if not taken.meets(m.start(), m.end())
         ]
     if any(role != "secret" for _, _, role, _ in parts):
-        spots = sorted((s, e) for s, e, role, _ in parts if role != "secret")
+        spots = Covered((s, e) for s, e, role, _ in parts if role != "secret")
         for m in RANDOM.finditer(text):
-            within = any(s < m.end() and m.start() < e for s, e in spots)
-            if not within and free(m.start(), m.end()) and looks_random(m.group()):
+            start, end = m.span()
+            if spots.meets(start, end) or taken.meets(start, end):
+                continue
+            if looks_random(m.group()):
                 parts.append((m.start(), m.end(), "secret", True))
     if not any(weak for *_, weak in parts):
         return []
@@ -195,9 +224,13 @@ def _near(role: str, before: Window, after: Window) -> Column:
 def _linked(scanned: DataFrame) -> DataFrame:
     """``(linked_key, linked)``: weak parts with a complement in scope, per row."""
     parts = scanned.where(F.size("parts") > 0).select("row_key", F.inline("parts"))
-    ordered = Window.partitionBy("row_key", "paragraph").orderBy("start", "end", "role", "weak")
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    after = ordered.rowsBetween(1, Window.unboundedFollowing)
+    # What follows is what precedes in the other order: Spark goes through a frame
+    # that begins with the partition once, and through one that ends with it for
+    # every row.
+    paragraph, order = Window.partitionBy("row_key", "paragraph"), ["start", "end", "role", "weak"]
+    passed = (Window.unboundedPreceding, -1)
+    before = paragraph.orderBy(*order).rowsBetween(*passed)
+    after = paragraph.orderBy(*[F.desc(name) for name in order]).rowsBetween(*passed)
     near = {role: _near(role, before, after) for role in ("id", "secret", "endpoint")}
     is_id = F.col("role") == "id"
     complete = F.when(is_id, near["secret"]).otherwise(near["id"] | near["endpoint"])
