@@ -41,6 +41,8 @@ OPEN, CLOSE, OTHER = "\u0001", "\u0002", "\u0003"
 
 # Terms are runs of letters, this long at least.
 TERM = r"\p{L}{3,}+"
+# Code points of a block of text that is reached at once.
+BLOCK = 256
 # Code points on either side of a value that count as its context.
 CONTEXT = 60
 # Different texts in which a term must accompany a value.
@@ -56,30 +58,104 @@ def _clean() -> Column:
     return F.translate("text", OPEN + CLOSE, OTHER + OTHER)
 
 
-def _matches(clean: Column, pattern: str) -> Column:
-    """All matches: an array of (start, end, value), offsets in code points."""
+def _pieces(clean: Column, pattern: str) -> Column:
+    """The text cut before every match, with the end of each match marked; null
+    without matches. To be held in a column of its own before it is read."""
     marked = F.regexp_replace(clean, F.lit(pattern), F.lit(f"{OPEN}$0{CLOSE}"))
-    pieces = F.split(marked, OPEN, -1)
-    kind = "array<struct<start:bigint,end:bigint,value:string>>"
+    return F.when(clean.rlike(pattern), F.split(marked, OPEN, -1))
+
+
+def _with(value: Column, read: Callable[[Column], Column]) -> Column:
+    """``read`` of a value that is computed once, however often it is read."""
+    return F.transform(F.array(value), read)[0]
+
+
+def _running(numbers: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """What the numbers up to each one come to, from zero on.
+
+    An array grows by copying, so the numbers are taken in about as many chunks
+    as a chunk has numbers: n numbers cost some n ** 1.5 copies and not n ** 2.
+    """
+    kind = "array<bigint>"
+    start = F.struct(F.lit(0).cast("bigint").alias("to"), F.array().cast(kind).alias("all"))
+
+    def step(state: Column, number: Column) -> Column:
+        now = combine(state["to"], number)
+        return F.struct(now.alias("to"), F.concat(state["all"], F.array(now)).alias("all"))
+
+    def before(state: Column, chunk: Column) -> Column:
+        now = combine(state["to"], F.element_at(chunk, -1))
+        kept = F.concat(state["all"], F.array(state["to"]))
+        return F.struct(now.alias("to"), kept.alias("all"))
+
+    def chunks(held: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(held))).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(held) - 1) / size).cast("int")),
+            lambda n: F.aggregate(
+                F.slice(held, n * size + 1, size), start, step, lambda state: state["all"]
+            ),
+        )
 
-    def step(state: Column, piece: Column) -> Column:
-        size = F.instr(piece, CLOSE) - 1
-        match = F.struct(
-            state["at"].alias("start"),
-            (state["at"] + size).alias("end"),
-            F.substring(piece, F.lit(1), size).alias("value"),
+    def shifted(held: Column) -> Column:
+        offsets = F.aggregate(held, start, before, lambda state: state["all"])
+        return F.flatten(
+            F.zip_with(
+                held, offsets, lambda chunk, o: F.transform(chunk, lambda x: combine(o, x))
+            )
         )
-        return F.struct(
-            (state["at"] + F.char_length(piece) - 1).alias("at"),
-            F.concat(state["found"], F.array(match).cast(kind)).alias("found"),
+
+    def run(held: Column) -> Column:
+        none = F.array().cast(kind)
+        return F.when(F.size(held) > 0, _with(chunks(held), shifted)).otherwise(none)
+
+    return _with(numbers, run)
+
+
+def _add(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _matches(pieces: Column) -> Column:
+    """All matches in ``_pieces``: an array of (start, end, value), in code points."""
+
+    def found(parts: Column) -> Column:
+        rest, first = parts["rest"], parts["first"]
+        reach = _running(
+            F.transform(rest, lambda piece: (F.char_length(piece) - 1).cast("bigint")), _add
         )
 
-    start = F.struct(
-        F.char_length(pieces[0]).cast("bigint").alias("at"), F.array().cast(kind).alias("found")
+        def match(piece: Column, to: Column) -> Column:
+            start = first + to - F.char_length(piece) + 1
+            size = F.instr(piece, CLOSE) - 1
+            return F.struct(
+                start.alias("start"),
+                (start + size).alias("end"),
+                F.substring(piece, F.lit(1), size).alias("value"),
+            )
+
+        return F.zip_with(rest, reach, match)
+
+    kind = "array<struct<start:bigint,end:bigint,value:string>>"
+    parts = F.struct(
+        F.slice(pieces, F.lit(2), F.size(pieces)).alias("rest"),
+        F.char_length(pieces[0]).cast("bigint").alias("first"),
     )
-    rest = F.slice(pieces, F.lit(2), F.size(pieces))
-    found = F.aggregate(rest, start, step, lambda s: s["found"])
-    return F.when(clean.rlike(pattern), found).otherwise(F.array().cast(kind))
+    none = F.array().cast(kind)
+    return F.when(pieces.isNotNull(), _with(parts, found).cast(kind)).otherwise(none)
+
+
+def _blocks(text: Column) -> Column:
+    """The text in blocks of ``BLOCK`` code points, so that a place far into it
+    is reached at once. To be held in a column of its own before it is read."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _part(blocks: Column, at: Column, size: Column) -> Column:
+    """``size`` code points, ``BLOCK`` at most, from ``at`` on."""
+    number = F.floor(at / BLOCK).cast("int")
+    held = F.concat_ws("", F.get(blocks, number), F.get(blocks, number + 1))
+    return F.substring(held, (at % BLOCK + 1).cast("int"), size.cast("int"))
 
 
 def _luhn(digits: Column) -> Column:
@@ -123,16 +199,19 @@ def _base(docs: DataFrame) -> DataFrame:
         "doc_id", F.xxhash64("text").alias("text_hash"), _clean().alias("clean")
     )
     hint = {"email": F.col("clean").contains("@"), "phone": F.col("clean").contains("+")}
-    nothing = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
-    matched = cleaned.select(
+    cut = cleaned.select(
         "*",
         *[
-            F.when(hint.get(kind, F.lit(True)), _matches(F.col("clean"), pattern))
-            .otherwise(nothing)
-            .alias(f"m_{kind}")
+            F.when(hint.get(kind, F.lit(True)), _pieces(F.col("clean"), pattern)).alias(f"p_{kind}")
             for kind, pattern in PATTERNS.items()
         ],
     )
+    matched = cut.select(
+        "doc_id",
+        "text_hash",
+        "clean",
+        *[_matches(F.col(f"p_{kind}")).alias(f"m_{kind}") for kind in PATTERNS],
+    )
     valid = matched.select(
         "doc_id",
         "text_hash",
@@ -157,28 +236,33 @@ def _base(docs: DataFrame) -> DataFrame:
     def around(match: Column) -> Column:
         # Words cut by the context's outer edges are not terms of it.
         left_at = F.greatest(match["start"] - CONTEXT, F.lit(0))
-        size = (match["start"] - left_at).cast("int")
-        left = F.substring(F.col("clean"), (left_at + 1).cast("int"), size)
+        left = _part(F.col("blocks"), left_at, match["start"] - left_at)
         left = F.when(left_at > 0, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left)
-        right = F.substring(F.col("clean"), (match["end"] + 1).cast("int"), F.lit(CONTEXT))
+        right = _part(F.col("blocks"), match["end"], F.lit(CONTEXT))
         right = F.when(
             F.char_length(right) == CONTEXT, F.regexp_replace(right, r"\p{L}+$", "")
         ).otherwise(right)
         words = F.regexp_extract_all(F.lower(F.concat_ws(" ", left, right)), F.lit(TERM), F.lit(0))
-        return F.transform(
-            F.array_distinct(words),
-            lambda word: F.struct(
-                F.xxhash64(F.lower(match["value"])).alias("value"), word.alias("term")
-            ),
-        )
+        value = F.xxhash64(F.lower(match["value"])).cast("string")
+        return F.transform(F.array_distinct(words), lambda word: F.concat(value, F.lit(":"), word))
 
-    matches = F.concat(*[F.col(kind) for kind in BASE_KINDS])
-    return valid.select(
+    # Spark tells strings apart by hashes, and structs one by one.
+    pairs = F.array_distinct(F.flatten(F.transform("matches", around)))
+    held = valid.select(
         "doc_id",
         "text_hash",
         F.array_sort(F.concat(*[spans(kind) for kind in BASE_KINDS])).alias("base"),
-        F.array_distinct(F.flatten(F.transform(matches, around))).alias("contexts"),
+        F.concat(*[F.col(kind) for kind in BASE_KINDS]).alias("matches"),
+        "clean",
+    ).select("*", F.when(F.size("matches") > 0, _blocks(F.col("clean"))).alias("blocks"))
+    contexts = F.transform(
+        pairs,
+        lambda pair: F.struct(
+            F.substring_index(pair, ":", 1).cast("bigint").alias("value"),
+            F.substring_index(pair, ":", -1).alias("term"),
+        ),
     )
+    return held.select("doc_id", "text_hash", "base", contexts.alias("contexts"))
 
 
 def _candidates(found: DataFrame) -> DataFrame:
@@ -251,7 +335,7 @@ def _term_spans(docs: DataFrame, owned: DataFrame) -> DataFrame:
     """
     keyed = docs.select(
         F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), _clean().alias("clean")
-    )
+    ).select("d", "h", _pieces(F.col("clean"), TERM).alias("pieces"))
     pages = filter_pages(owned.select("t_doc_id", "t_hash"))
     flagged = flag_members(keyed, [F.col("d"), F.col("h")], pages, "maybe").where("maybe")
     held = flagged.join(
@@ -268,7 +352,7 @@ def _term_spans(docs: DataFrame, owned: DataFrame) -> DataFrame:
         )
 
     matches = F.filter(
-        _matches(F.col("clean"), TERM),
+        _matches(F.col("pieces")),
         lambda m: F.map_contains_key(F.col("terms"), F.lower(m["value"])),
     )
     return held.select(
@@ -324,24 +408,35 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 def apply_spans(text: Column, spans: Column) -> Column:
     """The text without its spans: patterns and generalised terms leave a label
-    in brackets, removed terms leave nothing."""
-
-    def step(state: Column, span: Column) -> Column:
-        size = F.greatest(span["start"] - state["at"], F.lit(0)).cast("int")
-        before = F.substring(text, (state["at"] + 1).cast("int"), size)
-        label = F.when(span["kind"] == "term_removed", F.lit("")).when(
-            span["kind"] == "term_generalised", F.lit("[TERM]")
-        ).otherwise(F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))
-        new = span["start"] >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(new, F.concat(state["out"], before, label)).otherwise(state["out"]).alias("out"),
-        )
+    in brackets, removed terms leave nothing. A span that begins inside an
+    earlier one is taken out with it and leaves no label.
+
+    ``spans`` come by start. Text between spans is read from blocks, so a text
+    with many spans is not read from its beginning for each.
+    """
+    label = lambda span: F.when(span["kind"] == "term_removed", F.lit("")).when(
+        span["kind"] == "term_generalised", F.lit("[TERM]")
+    ).otherwise(F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))
+    held = F.struct(
+        _blocks(text).alias("blocks"),
+        _running(F.transform(spans, lambda span: span["end"]), F.greatest).alias("reach"),
+    )
+
+    def between(blocks: Column, at: Column, size: Column) -> Column:
+        far = F.substring(text, (at + 1).cast("int"), size.cast("int"))
+        return F.when(size <= BLOCK, _part(blocks, at, size)).otherwise(far)
+
+    def written(parts: Column) -> Column:
+        blocks, reach = parts["blocks"], parts["reach"]
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+        def piece(span: Column, number: Column) -> Column:
+            at = F.when(number == 0, F.lit(0).cast("bigint")).otherwise(F.get(reach, number - 1))
+            size = F.greatest(span["start"] - at, F.lit(0))
+            new = span["start"] >= at
+            return F.when(new, F.concat(between(blocks, at, size), label(span))).otherwise("")
 
-    def end(state: Column) -> Column:
-        rest = F.substring(text, (state["at"] + 1).cast("int"), F.char_length(text))
-        return F.concat(state["out"], rest)
+        last = F.coalesce(F.element_at(F.concat(F.array(F.lit(0).cast("bigint")), reach), -1))
+        rest = F.substring(text, (last + 1).cast("int"), F.char_length(text))
+        return F.concat(F.array_join(F.transform(spans, piece), ""), rest)
 
-    return F.aggregate(spans, start, step, end)
+    return _with(held, written)
