@@ -148,8 +148,10 @@ DIGEST_SCHEMA = (
 def read_back(formatted: DataFrame, path: str) -> DataFrame:
     """What ``format_chat`` wrote, per conversation, read from the ids and the mask.
 
-    Streams over the rows as they are partitioned and sorted, holding one batch
-    and the digests of one conversation.
+    Rows are brought together by conversation and sorted, unless they lie so
+    already, and streamed over: one batch and the digests of one conversation
+    are held. ``formatted_chars`` counts the rendered text, control strings and
+    escapes included, as the ids decode to it.
     """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,10 +174,10 @@ def read_back(formatted: DataFrame, path: str) -> DataFrame:
             rows = []
             figures = [
                 batch.column(name).to_pylist()
-                for name in ("conv_id", "start", "loss_start", "loss_tokens", "chars")
+                for name in ("conv_id", "start", "loss_start", "loss_tokens")
             ]
             lists = batch.column("token_ids")
-            for n, (conv, start, loss_start, loss_tokens, chars) in enumerate(
+            for n, (conv, start, loss_start, loss_tokens) in enumerate(
                 zip(*figures, strict=True)
             ):
                 if not open_conv or conv != state[0]:
@@ -186,8 +188,11 @@ def read_back(formatted: DataFrame, path: str) -> DataFrame:
                 ids = lists[n].values.to_numpy()
                 marks = np.flatnonzero(ids >= words.size)
                 turn, body_mark, end = marks.tolist()
-                role = unescape(words.text(ids[turn + 1 : body_mark]))
-                text = unescape(words.text(ids[body_mark + 1 : end]))
+                safe_role = words.text(ids[turn + 1 : body_mark])
+                safe_text = words.text(ids[body_mark + 1 : end])
+                role, text = unescape(safe_role), unescape(safe_text)
+                chars = len(safe_role) + len(safe_text)
+                chars += sum(len(CONTROL_STRINGS[i - words.size]) for i in ids[marks].tolist())
                 loss_ids = ids[loss_start - start : loss_start - start + loss_tokens]
                 loss = unescape(words.text(loss_ids))
                 state[1] += 1
@@ -200,5 +205,10 @@ def read_back(formatted: DataFrame, path: str) -> DataFrame:
         if open_conv:
             yield as_batch([closed()])
 
-    ordered = formatted.sortWithinPartitions("conv_id", "start")
+    # Numbering the turns asks for the partitioning, which Spark keeps if it is there.
+    by_start = Window.partitionBy("conv_id").orderBy("start")
+    ordered = formatted.select(
+        "conv_id", "start", "loss_start", "loss_tokens", "token_ids",
+        F.row_number().over(by_start).alias("place"),
+    )
     return ordered.mapInArrow(digest, DIGEST_SCHEMA)

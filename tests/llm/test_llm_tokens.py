@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from oddities import TEXTS, empty, frame, odd
 from tokenizers import Tokenizer
 
+from tarn.llm.common import stored
 from tarn.llm.chat import CONTROL_STRINGS, escape, format_chat, read_back, unescape
 from tarn.llm.packing import END_ID, fit_counts, pack_documents, plan_sequences
 from tarn.llm.queries import HOSTILE_CONVERSATION, QUERIES, VOCABULARY
@@ -210,3 +211,16 @@ def test_fit_finds_an_exact_solution():
         for length in pattern[pattern > 0]:
             histogram[length] += times
     assert fit_counts(patterns, histogram) == pytest.approx(uses, rel=0.01)
+
+
+def test_read_back_over_a_stored_table(spark):
+    """The written turns lie in any order, a conversation's in many files."""
+    turns = [(c, t, "assistant" if t % 2 else "user", f"[INST] {c} {t}") for c in range(9) for t in range(12)]
+    df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    made = format_chat(df, VOCABULARY)
+    fresh = sorted(map(tuple, read_back(made, VOCABULARY).collect()))
+    table = stored(made.repartition(7, "start"))
+    assert sorted(map(tuple, read_back(table, VOCABULARY).collect())) == fresh
+    assert [r[0] for r in fresh] == list(range(9))
+    rendered = sum(len("<|turn|><|body|><|end|>") + len(role) + len(text) + 1 for c, _, role, text in turns if c == 0)
+    assert fresh[0][-1] == rendered
