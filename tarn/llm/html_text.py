@@ -219,31 +219,41 @@ def _in_order(root: Node) -> list[Node]:
     return found
 
 
-def _is_boilerplate(node: Node) -> bool:
+def _is_boilerplate(node: Node, by_words: bool) -> bool:
     if node.unseen or (node.tag in DROPPED and not (node.tag == "form" and node.holds)):
         return True
-    if node.tag in ("html", "body", "article", "main", "#root"):
+    if node.tag in ("html", "body", "main", "#root"):
         return False
     if node.tag == "header":
         return not node.parent.in_article
-    return not node.holds and not node.words.isdisjoint(BOILERPLATE_WORDS)
+    return by_words and not node.holds and not node.words.isdisjoint(BOILERPLATE_WORDS)
 
 
-def _prune(root: Node) -> None:
+def _article_marks(nodes: list[Node]) -> list[Node]:
+    """What says where the article is: ``article`` and ``main``, or else the first ``h1``.
+
+    Elements named like boilerplate don't count: comments are articles, too.
+    """
+    plain = [node for node in nodes if node.words.isdisjoint(BOILERPLATE_WORDS)]
+    marks = [node for node in plain if node.tag in ("article", "main")]
+    return marks or [node for node in plain if node.tag == "h1"][:1]
+
+
+def _prune(root: Node, by_words: bool = True) -> None:
     """Cut off boilerplate, but by its names only what doesn't hold the article.
 
     A form that holds it stays, as server-side frameworks wrap whole pages in
     one; its controls go like others.
     """
     nodes = _in_order(root)
+    marks = set(map(id, _article_marks(nodes)))
     for node in reversed(nodes):
         if node.parent is not None:
-            marked = node.tag in ("article", "main", "h1") and node.words.isdisjoint(
-                BOILERPLATE_WORDS
-            )
-            node.parent.holds |= node.holds or marked
+            node.parent.holds |= node.holds or id(node) in marks
     for node in nodes:
-        node.kids = [kid for kid in node.kids if isinstance(kid, str) or not _is_boilerplate(kid)]
+        node.kids = [
+            kid for kid in node.kids if isinstance(kid, str) or not _is_boilerplate(kid, by_words)
+        ]
 
 
 def _measure(nodes: list[Node]) -> None:
@@ -357,9 +367,17 @@ def _blocks(top: Node) -> list[str]:
 
 
 def main_text(page: str) -> str:
-    """The article of a page: its blocks in page order, joined by empty lines."""
+    """The article of a page: its blocks in page order, joined by empty lines.
+
+    Where names leave nothing of a page, they are not gone by: an article may
+    lie in a box that is named like boilerplate.
+    """
+    return _main_text(page, True) or _main_text(page, False)
+
+
+def _main_text(page: str, by_words: bool) -> str:
     root = parse(page)
-    _prune(root)
+    _prune(root, by_words)
     nodes = _in_order(root)
     _measure(nodes)
     _score(nodes)

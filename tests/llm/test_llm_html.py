@@ -116,3 +116,22 @@ def test_a_form_around_the_page_is_no_boilerplate():
     assert found.count("The article") == 6
     assert not any(word in found for word in ("Pick", "Send", "Type"))
     assert "Sign" not in main_text(f"<body><div><p>{words}</p></div><form><p>Sign up here</p></form></body>")
+
+
+ARTICLE = "<p>" + "The river rose, and the old mill turned again, slowly at first. " * 4 + "</p>"
+WANTED = " ".join(("The river rose, and the old mill turned again, slowly at first. " * 4).split())
+COMMENT = "<p>" + "I liked this article, thank you, and I will read it again soon. " * 3 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<article>{ARTICLE}<article class='comment'>{COMMENT}</article></article>",
+        f"<main><article>{ARTICLE}</article><article class='comment'>{COMMENT}</article></main>",
+        f"<body><article>{ARTICLE}</article><div class='comments'><h1>Comments</h1>{COMMENT}</div></body>",
+        f"<body><article class='related page'>{ARTICLE}</article></body>",
+        f"<body><div class='form-page'>{ARTICLE}</div></body>",
+    ],
+)
+def test_comments_go_and_an_odd_name_does_not_empty_a_page(page):
+    assert main_text(page) == WANTED
