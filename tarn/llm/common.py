@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +15,11 @@ from tarn.sources import scratch_folder
 BATCH_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1_000
 
-# Slots of a membership filter: 8 MiB when every page is in use.
-FILTER_SLOTS = 1 << 26
+# Slots of a membership filter: for each key, at least (one page), and at most
+# (128 MiB, some 100 million keys).
+SLOTS_PER_KEY = 10
+LEAST_SLOTS = 1 << 15
+MOST_SLOTS = 1 << 30
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,40 +79,49 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@dataclass(frozen=True)
+class Filter:
+    """A membership filter: pages of bits, and the number of bits in all."""
+
+    pages: DataFrame
+    slots: int
+
+
 def _slot(keys: list[Column], slots: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(slots).cast("bigint")) + 1
 
 
-def filter_pages(keys: DataFrame, slots: int = FILTER_SLOTS) -> DataFrame:
+def filter_pages(keys: DataFrame, most_slots: int = MOST_SLOTS) -> Filter:
     """A membership filter over the rows of ``keys``: one bit per hash slot.
 
-    The bits lie in pages of 4 KiB, so the whole takes ``slots / 8`` bytes at
-    most, whatever the number of keys. It has no false negatives; false
-    positives grow with the keys, so a caller must still be exact on its own.
+    There are ``SLOTS_PER_KEY`` slots for each key, so one row in ten or fewer
+    passes that is not in it, up to ``most_slots``, which bounds what is
+    broadcast. With more keys than those hold, more rows pass, and none is
+    lost: it has no false negatives, and a caller must be exact on its own.
     """
-    slot = _slot([field(name) for name in keys.columns], slots)
-    return (
-        keys.select(slot.alias("slot"))
-        .distinct()
-        .select(
-            F.bitmap_bucket_number("slot").alias("page"),
-            F.bitmap_bit_position("slot").alias("position"),
+    held = stored(keys.distinct())
+    wanted = SLOTS_PER_KEY * held.count()
+    slots = min(most_slots, max(LEAST_SLOTS, 1 << (wanted - 1).bit_length() if wanted else 0))
+    slot = _slot([field(name) for name in held.columns], slots)
+    pages = (
+        held.select(
+            F.bitmap_bucket_number(slot).alias("page"),
+            F.bitmap_bit_position(slot).alias("position"),
         )
-        .repartition("page")
         .groupBy("page")
         .agg(F.bitmap_construct_agg("position").alias("page_bits"))
     )
+    return Filter(pages, slots)
 
 
-def flag_members(
-    df: DataFrame, keys: list[Column], pages: DataFrame, flag: str, slots: int = FILTER_SLOTS
-) -> DataFrame:
+def flag_members(df: DataFrame, keys: list[Column], members: Filter, flag: str) -> DataFrame:
     """``df`` with a boolean ``flag``: false only where the keys are not in the filter.
 
-    ``pages`` is broadcast: at most ``slots / 8`` bytes by construction. ``df``
-    is not shuffled.
+    The pages are broadcast: ``most_slots / 8`` bytes at most by construction.
+    ``df`` is not shuffled.
     """
-    slot = _slot(keys, slots)
+    slot = _slot(keys, members.slots)
+    pages = members.pages
     position = F.bitmap_bit_position(slot).cast("int")
     byte = F.substring("page_bits", F.floor(position / 8).cast("int") + 1, F.lit(1))
     bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), position % 8)

@@ -14,7 +14,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps, each a grouped minimum and a
     join, until the edges stop changing; the number of rounds grows with the
     logarithm of the nodes. Every round is a written table, so a lost executor
-    costs a part of one round.
+    costs a part of one round. So are the minima: the join then reads both of
+    its sides from a shuffle, and Spark can split a hub's edges.
     """
     pairs = edges.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
@@ -42,7 +43,7 @@ def _digest(star: DataFrame) -> tuple[int, int]:
 def _large_star(star: DataFrame) -> DataFrame:
     """Connect every larger neighbour of a node to the node's least neighbour."""
     both = star.union(star.select("v", "u").toDF("u", "v"))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")))
     return (
         both.join(least, "u")
         .where("v > u")
@@ -53,7 +54,7 @@ def _large_star(star: DataFrame) -> DataFrame:
 
 def _small_star(star: DataFrame) -> DataFrame:
     """Connect a node and its smaller neighbours to the least of them."""
-    least = star.groupBy("u").agg(F.min("v").alias("m"))
+    least = stored(star.groupBy("u").agg(F.min("v").alias("m")))
     moved = star.join(least, "u").where("v <> m").select(
         F.col("v").alias("u"), F.col("m").alias("v")
     )

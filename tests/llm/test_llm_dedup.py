@@ -180,3 +180,20 @@ def test_components_of_a_long_path_and_a_star(spark):
 def test_digest_of_the_query_is_of_the_text(spark, sf_dir):
     got = {r.doc_id: r.text_sha256 for r in QUERIES["op8_exact_dedup"](spark, sf_dir).collect()}
     assert got == {d: hashlib.sha256((t or "").encode()).hexdigest() for d, t in documents(sf_dir)}
+
+
+def test_the_membership_filter_is_sized_by_its_keys(spark):
+    from tarn.llm.common import LEAST_SLOTS, SLOTS_PER_KEY, filter_pages, flag_members
+
+    keys = spark.range(0, 20_000, 2)
+    held = filter_pages(keys)
+    assert SLOTS_PER_KEY * 10_000 <= held.slots < 2 * SLOTS_PER_KEY * 10_000
+    rows = flag_members(spark.range(20_000), [F.col("id")], held, "maybe").collect()
+    assert all(r.maybe for r in rows if r.id % 2 == 0)
+    assert sum(r.maybe for r in rows if r.id % 2) < 1_500
+    # More keys than slots: rows pass that need not, and none is lost.
+    small = filter_pages(spark.range(0, 200_000, 2), most_slots=LEAST_SLOTS)
+    assert small.slots == LEAST_SLOTS
+    rows = flag_members(spark.range(20_000), [F.col("id")], small, "maybe").collect()
+    assert all(r.maybe for r in rows if r.id % 2 == 0)
+    assert filter_pages(spark.range(0)).slots == LEAST_SLOTS
