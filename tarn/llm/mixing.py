@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tarn.llm.common import body, filter_pages, flag_members, hold, picked, release, stored, values
 from tarn.llm.models import fit as fit_classes
 from tarn.llm.models import labelled_sample
-from tarn.llm.ngrams import Featurizer, margin, sigmoid
+from tarn.llm.ngrams import Featurizer, margins, sigmoid
 
 # Labelled documents that training uses at most, and passes over them.
 MAX_LABELLED = 4_000
@@ -65,7 +65,7 @@ def posteriors(
     )
     sample = labelled_sample(docs, known, MAX_LABELLED, doc_id, text)
     weights = docs.sparkSession.sparkContext.broadcast(
-        fit_classes(sample, domains, EPOCHS, FEATURES)
+        np.ascontiguousarray(fit_classes(sample, domains, EPOCHS, FEATURES).T)
     )
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +74,7 @@ def posteriors(
             tokens, rows = [], []
             for content in values(batch.column("text")):
                 buckets, n = maker.of(content)
-                chances = np.array([sigmoid(margin(w, buckets)) for w in weights.value])
+                chances = np.array([sigmoid(m) for m in margins(weights.value, buckets).tolist()])
                 tokens.append(n)
                 rows.append(chances / chances.sum())
             yield pa.RecordBatch.from_arrays(

@@ -74,7 +74,8 @@ class Featurizer:
             return np.zeros(0, np.int64), 0
         pairs = b"".join(map(_known.__getitem__, tokens))
         words, shapes = np.frombuffer(pairs, "<u8").reshape(-1, 2).T.copy()
-        shapes[1:][words[1:] == words[:-1]] = SHAPES["repeat"]
+        if self.shape_orders:
+            shapes[1:][words[1:] == words[:-1]] = SHAPES["repeat"]
         found = []
         for sequence, orders, salt in (
             (words, self.orders, 0x9E3779B97F4A7C15),
@@ -115,6 +116,15 @@ def margin(weights: np.ndarray, buckets: np.ndarray) -> float:
     return float(weights[CONSTANT] + taken.sum() * (SHARE_SCALE / len(buckets)))
 
 
+def margins(by_bucket: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """``margin`` for several classes, whose weights lie side by side: (buckets, classes)."""
+    always = by_bucket[CONSTANT].astype(np.float64)
+    if not len(buckets):
+        return always
+    taken = by_bucket.take(buckets[buckets != CONSTANT], axis=0)
+    return always + taken.sum(axis=0, dtype=np.float64) * (SHARE_SCALE / len(buckets))
+
+
 class FollowTheRegularizedLeader:
     """FTRL-proximal for logistic loss: per-coordinate rates, L1 and L2."""
 
