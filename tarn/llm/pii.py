@@ -4,11 +4,14 @@ Built-in functions only. Pattern matches are marked in the text with two
 control characters and cut apart there, which yields their offsets.
 
 Beyond the patterns, a term can reveal a person whose data were removed. The
-corpus tells which: a term that occurs near a protected value in several
-different texts, and in few documents without it, discloses that value. Its
-disclosure is the pointwise mutual information of value and term, and the
-probability of the value given the term; terms above the thresholds are
-removed, those a little below are generalised.
+corpus tells which: a term that occurs near a protected value in different
+texts, and in few documents without it, discloses that value. Its disclosure is
+the pointwise mutual information of value and term, and the probability of the
+value given the term, shrunk by how few texts show the two together: one text
+alone is no evidence, and each further one leaves a quarter of the doubt. Terms
+above the thresholds are removed, those a little below are generalised to a
+broader term of the corpus, one that stands with nearly every occurrence of the
+narrower one and with more besides.
 """
 
 from __future__ import annotations
@@ -45,12 +48,15 @@ TERM = r"\p{L}{3,}+"
 BLOCK = 256
 # Code points on either side of a value that count as its context.
 CONTEXT = 60
-# Different texts in which a term must accompany a value.
-LEAST_TEXTS = 3
+# Share of the doubt that each text with both value and term leaves, from the
+# second on.
+DOUBT = 0.25
 # Bits of information about the value, and its probability given the term.
 LEAST_BITS = 3.0
 REMOVE_FROM = 0.8
 GENERALISE_FROM = 0.5
+# Share of a term's contexts in which a broader term stands too.
+BROADER_FROM = 0.8
 
 
 def _clean() -> Column:
@@ -268,14 +274,15 @@ def _base(docs: DataFrame) -> DataFrame:
 def _candidates(found: DataFrame) -> DataFrame:
     """``(value, term, together)``: terms that may disclose a value.
 
-    ``together`` counts documents. A term is left out if, among contexts alone,
-    it already accompanies other values too often to disclose this one.
+    ``together`` counts documents, less the share that stays in doubt. A term is left out if, among contexts alone, it already
+    accompanies other values too often to disclose this one.
     """
+    sure = 1 - F.pow(F.lit(DOUBT), F.col("texts") - 1)
     pairs = found.select("doc_id", "text_hash", F.inline("contexts"))
     together = (
         pairs.groupBy("value", "term")
-        .agg(F.count("*").alias("together"), F.countDistinct("text_hash").alias("texts"))
-        .where(F.col("texts") >= LEAST_TEXTS)
+        .agg(F.count("*").alias("documents"), F.countDistinct("text_hash").alias("texts"))
+        .select("value", "term", (F.col("documents") * sure).alias("together"))
     )
     near_any = (
         found.where(F.size("contexts") > 0)
@@ -327,8 +334,44 @@ def disclosing_terms(
     )
 
 
+def broader_terms(found: DataFrame, disclosing: DataFrame) -> DataFrame:
+    """``(term, broader)`` for generalised terms that a broader one stands in for.
+
+    A term is broader than another if it stands in ``BROADER_FROM`` or more of
+    the other's contexts, stands near values in more texts, and discloses
+    nothing itself. The rarest such term says the most, and is taken. Copies of
+    a text count once.
+    """
+    narrow = disclosing.where("kind = 'term_generalised'").select(F.col("term").alias("narrow"))
+    pairs = found.select("text_hash", F.inline("contexts")).distinct()
+    near = pairs.groupBy("term").agg(F.countDistinct("text_hash").alias("near"))
+    seen = pairs.join(narrow, F.col("term") == F.col("narrow")).drop("term")
+    shared = (
+        seen.join(pairs, ["text_hash", "value"])
+        .where("term <> narrow")
+        .select("narrow", "term", "text_hash")
+        .distinct()
+        .groupBy("narrow", "term")
+        .agg(F.count("*").alias("shared"))
+        .join(disclosing.select("term"), "term", "left_anti")
+    )
+    own = near.select(F.col("term").alias("narrow"), F.col("near").alias("narrow_near"))
+    return (
+        shared.join(near, "term")
+        .join(own, "narrow")
+        .where(F.col("shared") >= BROADER_FROM * F.col("narrow_near"))
+        .where("near > narrow_near")
+        .groupBy(F.col("narrow").alias("term"))
+        .agg(F.min(F.struct("near", "term"))["term"].alias("broader"))
+    )
+
+
+def _no_broader() -> Column:
+    return F.create_map().cast("map<string,string>")
+
+
 def _term_spans(docs: DataFrame, owned: DataFrame) -> DataFrame:
-    """``(t_doc_id, t_hash, term_spans)``: where the documents' disclosing terms are.
+    """``(t_doc_id, t_hash, term_spans, broader)``: the documents' disclosing terms.
 
     ``owned`` has the terms per document. Only documents that the membership
     filter lets through are shuffled.
@@ -356,12 +399,17 @@ def _term_spans(docs: DataFrame, owned: DataFrame) -> DataFrame:
         lambda m: F.map_contains_key(F.col("terms"), F.lower(m["value"])),
     )
     return held.select(
-        "t_doc_id", "t_hash", F.transform(matches, span).cast(SPANS_TYPE).alias("term_spans")
+        "t_doc_id",
+        "t_hash",
+        F.transform(matches, span).cast(SPANS_TYPE).alias("term_spans"),
+        "broader",
     ).dropDuplicates(["t_doc_id", "t_hash"])
 
 
 def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id`` and ``found``, the spans by start.
+    """One row per row of ``docs``: ``doc_id``, ``found``, the spans by start, and
+    ``broader``, a map from the text's generalised terms to broader ones, which
+    lacks terms that have none.
 
     A span has ``start``, ``rank``, ``kind`` and ``end``, in code points, end
     exclusive; those of terms don't overlap those of patterns. Null texts are
@@ -375,7 +423,11 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     found = stored(_base(docs))
     candidates = stored(_candidates(found))
     if candidates.isEmpty():
-        return found.select(F.col("doc_id").alias(doc_id), F.col("base").alias("found"))
+        return found.select(
+            F.col("doc_id").alias(doc_id),
+            F.col("base").alias("found"),
+            _no_broader().alias("broader"),
+        )
     terms = candidates.select("term").distinct()
     carriers = stored(_carriers(docs, terms))
     values = (
@@ -385,11 +437,16 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     )
     # A written table, so that a term of many documents can be split or broadcast.
     disclosing = stored(disclosing_terms(candidates, carriers, values, found.count()))
+    broader = stored(broader_terms(found, disclosing))
+    in_place = F.when(F.col("broader").isNotNull(), F.struct("term", "broader"))
     owned = stored(
-        carriers.join(disclosing, "term")
+        carriers.join(disclosing.join(broader, "term", "left"), "term")
         .distinct()
         .groupBy(F.col("doc_id").alias("t_doc_id"), F.col("text_hash").alias("t_hash"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("terms"))
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("terms"),
+            F.map_from_entries(F.collect_list(in_place)).alias("broader"),
+        )
     )
     spans = _term_spans(docs, owned)
     joined = found.join(
@@ -402,21 +459,22 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
     )
     return joined.select(
-        F.col("doc_id").alias(doc_id), F.array_sort(F.concat("base", free)).alias("found")
+        F.col("doc_id").alias(doc_id),
+        F.array_sort(F.concat("base", free)).alias("found"),
+        F.coalesce("broader", _no_broader()).alias("broader"),
     )
 
 
-def apply_spans(text: Column, spans: Column) -> Column:
-    """The text without its spans: patterns and generalised terms leave a label
-    in brackets, removed terms leave nothing. A span that begins inside an
-    earlier one is taken out with it and leaves no label.
+def apply_spans(text: Column, spans: Column, broader: Column | None = None) -> Column:
+    """The text without its spans: patterns leave their kind in brackets,
+    generalised terms their broader term, or ``TERM`` if ``broader`` has none,
+    and removed terms nothing. A span that begins inside an earlier one is taken
+    out with it and leaves no label.
 
     ``spans`` come by start. Text between spans is read from blocks, so a text
     with many spans is not read from its beginning for each.
     """
-    label = lambda span: F.when(span["kind"] == "term_removed", F.lit("")).when(
-        span["kind"] == "term_generalised", F.lit("[TERM]")
-    ).otherwise(F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))
+    terms = _no_broader() if broader is None else broader
     held = F.struct(
         _blocks(text).alias("blocks"),
         _running(F.transform(spans, lambda span: span["end"]), F.greatest).alias("reach"),
@@ -426,6 +484,13 @@ def apply_spans(text: Column, spans: Column) -> Column:
         far = F.substring(text, (at + 1).cast("int"), size.cast("int"))
         return F.when(size <= BLOCK, _part(blocks, at, size)).otherwise(far)
 
+    def label(blocks: Column, span: Column) -> Column:
+        term = F.lower(between(blocks, span["start"], span["end"] - span["start"]))
+        wide = F.coalesce(F.element_at(terms, term), F.lit("TERM"))
+        name = F.when(span["kind"] == "term_generalised", wide).otherwise(F.upper(span["kind"]))
+        bracketed = F.concat(F.lit("["), name, F.lit("]"))
+        return F.when(span["kind"] == "term_removed", F.lit("")).otherwise(bracketed)
+
     def written(parts: Column) -> Column:
         blocks, reach = parts["blocks"], parts["reach"]
 
@@ -433,7 +498,7 @@ def apply_spans(text: Column, spans: Column) -> Column:
             at = F.when(number == 0, F.lit(0).cast("bigint")).otherwise(F.get(reach, number - 1))
             size = F.greatest(span["start"] - at, F.lit(0))
             new = span["start"] >= at
-            return F.when(new, F.concat(between(blocks, at, size), label(span))).otherwise("")
+            return F.when(new, F.concat(between(blocks, at, size), label(blocks, span))).otherwise("")
 
         last = F.coalesce(F.element_at(F.concat(F.array(F.lit(0).cast("bigint")), reach), -1))
         rest = F.substring(text, (last + 1).cast("int"), F.char_length(text))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
@@ -147,6 +148,82 @@ def test_copies_are_not_evidence(spark):
     assert {r.s for r in found.collect()} == {"", joined(plain_pii(text))}
 
 
+def plain_disclosing(rows):
+    """Disclosing terms and broader terms, by plain counting; every value lies
+    alone in its text."""
+    near, held, broader = {}, {}, {}
+    for text in rows:
+        words = set(re.findall(r"[^\W\d_]{3,}", text.lower()))
+        for word in words:
+            held[word] = held.get(word, 0) + 1
+        spans = plain_pii(text)
+        if spans:
+            (start, _, _, end), = spans
+            left, right = text[max(start - 60, 0):start], text[end:end + 60]
+            left = re.sub(r"^[^\W\d_]+", "", left) if start > 60 else left
+            right = re.sub(r"[^\W\d_]+$", "", right) if len(right) == 60 else right
+            for word in set(re.findall(r"[^\W\d_]{3,}", f"{left} {right}".lower())):
+                near.setdefault(word, []).append((text[start:end].lower(), text))
+    values = [value for value, _ in {(v, t) for seen in near.values() for v, t in seen}]
+    kinds = {}
+    for word, seen in near.items():
+        for value in {v for v, _ in seen}:
+            n = sum(v == value for v, _ in seen)
+            share = n * (1 - 0.25 ** (n - 1)) / held[word]
+            bits = math.log2(share / (values.count(value) / len(rows))) if share else 0
+            if share >= 0.5 and bits >= 3:
+                kinds[word] = max(kinds.get(word, 0), share)
+    for word, share in kinds.items():
+        if share < 0.8:
+            own = {t for _, t in near[word]}
+            wider = [
+                (len(seen), other) for other, seen in near.items()
+                if other not in kinds and len(seen) > len(own)
+                and len(own & {t for _, t in seen}) >= 0.8 * len(own)
+            ]
+            broader[word] = min(wider)[1] if wider else None
+    return {w: "term_removed" if s >= 0.8 else "term_generalised" for w, s in kinds.items()}, broader
+
+
+def clinic():
+    """Names beside one address each, in two to nine texts, and elsewhere."""
+    rows = []
+    for k, name in enumerate(["ottavia", "benedek", "crispin", "dagmar", "eluned", "fionn"]):
+        job = ["cardiologist", "surgeon"][k % 2]
+        rows += [f"letter {i} of the {job} {name} from desk{k}@clinic.example.org today" for i in range(k + 1 + k % 3)]
+        rows += [f"seen {i}: {name}, once" for i in range(k // 2)]
+    rows += [f"the {job} wrote from {job}{i}@clinic.example.org today" for i in range(9) for job in ("cardiologist", "surgeon")]
+    return rows + [f"nothing of note, {i}" for i in range(300)]
+
+
+def test_disclosing_terms_are_the_plainly_counted_ones(spark):
+    texts = clinic()
+    kinds, broader = plain_disclosing(texts)
+    assert set(kinds.values()) == {"term_removed", "term_generalised"}
+    assert {"cardiologist", "surgeon"} <= set(broader.values())
+    rows = find_personal_data(frame(spark, list(enumerate(texts)))).collect()
+    for row in rows:
+        text = texts[row.doc_id]
+        got = {text[s.start:s.end].lower(): s.kind for s in row.found if s.kind.startswith("term")}
+        words = set(re.findall(r"[^\W\d_]{3,}", text.lower()))
+        assert got == {w: kind for w, kind in kinds.items() if w in words}, text
+        assert row.broader == {w: broader[w] for w in got if broader.get(w)}, text
+
+
+def test_generalised_terms_leave_their_broader_term(spark):
+    texts = clinic()
+    kinds, broader = plain_disclosing(texts)
+    docs = frame(spark, list(enumerate(texts)))
+    found = find_personal_data(docs).withColumnRenamed("doc_id", "id")
+    out = picked(docs, id="doc_id", t="text").join(found, "id").select(
+        "t", apply_spans(F.col("t"), F.col("found"), F.col("broader")).alias("out")
+    )
+    pairs = {r.t: r.out for r in out.collect()}
+    name = next(w for w, b in broader.items() if b)
+    text = next(t for t in texts if t.startswith("letter") and name in t)
+    assert f"the {broader[name]} [{broader[name]}] from [EMAIL]" in pairs[text]
+
+
 def test_personal_data_of_odd_rows(spark):
     rows = find_personal_data(odd(spark)).collect()
     assert len(rows) == len(TEXTS)
