@@ -24,13 +24,18 @@ from tarn.llm.tokens import vocabulary
 
 SEQUENCE_TOKENS = 2048
 END_ID = 0
-# A length's pieces are ranked in so many parts, so a length that most pieces
-# share does not end up in one task.
+# A length's pieces are ranked in so many parts at least, and in parts of so
+# many pieces at most on average, so a length that most pieces share does not
+# end up in a few tasks, whatever the corpus.
 RANK_PARTS = 64
+PART_PIECES = 1 << 22
 
 # Exact patterns of three and of four lengths that start from each length.
 PATTERNS_PER_LENGTH = 8
-FIT_ROUNDS = 300
+# The fit ends when a round takes less than this share off the squared residual,
+# or when this share of the histogram's squares is all that is left.
+FIT_GAIN = 1e-5
+FIT_EXACT = 1e-12
 
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -121,7 +126,8 @@ def fit_counts(patterns: np.ndarray, histogram: np.ndarray) -> np.ndarray:
     """Non-negative least squares of pattern uses against the histogram.
 
     Multiplicative updates: each use is scaled by how much its lengths are
-    wanted over how much they are used, so none turns negative.
+    wanted over how much they are used, so none turns negative and the residual
+    never grows. They go on until the residual stands still.
     """
     if not len(patterns):
         return np.zeros(0)
@@ -135,13 +141,17 @@ def fit_counts(patterns: np.ndarray, histogram: np.ndarray) -> np.ndarray:
 
     share = back(wanted)
     uses = np.maximum(share / share.sum() * wanted.sum() / filled.sum(axis=1).mean(), 1e-9)
-    for _ in range(FIT_ROUNDS):
+    before, exact = np.inf, FIT_EXACT * (wanted**2).sum()
+    while True:
         made = np.bincount(
             columns.ravel(), weights=np.repeat(uses, 4), minlength=len(wanted)
         )
         made[0] = 0
+        residual = ((made - wanted) ** 2).sum()
+        if residual <= exact or residual > (1 - FIT_GAIN) * before:
+            return uses
+        before = residual
         uses *= share / np.maximum(back(made), 1e-12)
-    return uses
 
 
 def plan_sequences(histogram: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -224,19 +234,41 @@ def pack_pieces(cut: DataFrame, capacity: int = SEQUENCE_TOKENS) -> DataFrame:
     """``cut`` with ``sequence_id`` and ``offset``; no sequence exceeds ``capacity``.
 
     ``cut`` needs ``doc_id, piece, start, length, ids_crc32`` and must be a
-    stored table, because it is read twice. Its other columns are kept. The
-    driver sees one number per length and rank part.
+    stored table, because it is read three times. Its other columns are kept.
+    The driver sees one number per length and rank part: ``RANK_PARTS`` for a
+    length, and one more for every ``PART_PIECES`` pieces.
     """
     columns = cut.columns
-    parted = cut.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(RANK_PARTS)))
-    counts = np.zeros((capacity + 1, RANK_PARTS), np.int64)
+    # A row per length, so no more than ``capacity``.
+    lengths = stored(
+        cut.groupBy(F.col("length").alias("_length"))
+        .agg(F.count("*").alias("_pieces"))
+        .withColumn(
+            "_parts",
+            F.greatest(F.lit(RANK_PARTS), F.ceil(F.col("_pieces") / F.lit(PART_PIECES))),
+        )
+    )
+    histogram = np.zeros(capacity + 1, np.int64)
+    parts = np.zeros(capacity + 1, np.int64)
+    for row in lengths.collect():
+        histogram[row["_length"]] = row["_pieces"]
+        parts[row["_length"]] = row["_parts"]
+    parted = (
+        cut.join(F.broadcast(lengths), F.col("length") == F.col("_length"))
+        .withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_parts")))
+        .drop("_length", "_pieces", "_parts")
+    )
+    # The parts of all lengths in a row, by length.
+    part_at = np.cumsum(parts) - parts
+    counts = np.zeros(parts.sum(), np.int64)
     for row in parted.groupBy("length", "_part").count().collect():
-        counts[row["length"], row["_part"]] = row["count"]
-    histogram = counts.sum(axis=1)
+        counts[part_at[row["length"]] + row["_part"]] = row["count"]
     plan = plan_sequences(histogram, capacity)
-    firsts = np.concatenate(([0], np.cumsum(histogram)[:-1]))
-    part_firsts = np.concatenate(([0], np.cumsum(counts.ravel())[:-1])).reshape(counts.shape)
-    places = cut.sparkSession.sparkContext.broadcast((part_firsts, *_places(plan, firsts)))
+    firsts = np.cumsum(histogram) - histogram
+    part_firsts = np.cumsum(counts) - counts
+    places = cut.sparkSession.sparkContext.broadcast(
+        (part_at, part_firsts, *_places(plan, firsts))
+    )
 
     ranked = parted.withColumn(
         "_rank",
@@ -246,13 +278,13 @@ def pack_pieces(cut: DataFrame, capacity: int = SEQUENCE_TOKENS) -> DataFrame:
     )
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part_firsts, ranks, sequences, offsets = places.value
+        part_at, part_firsts, ranks, sequences, offsets = places.value
         for batch in batches:
             length, part, rank = (
                 batch.column(name).to_numpy(zero_copy_only=False)
                 for name in ("length", "_part", "_rank")
             )
-            rank = part_firsts[length, part] + rank - 1
+            rank = part_firsts[part_at[length] + part] + rank - 1
             run = np.searchsorted(ranks, rank, side="right") - 1
             yield pa.RecordBatch.from_arrays(
                 [

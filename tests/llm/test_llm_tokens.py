@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 from functools import lru_cache
@@ -15,8 +16,9 @@ from hypothesis import strategies as st
 from oddities import TEXTS, empty, frame, odd
 from tokenizers import Tokenizer
 
-from tarn.llm.common import stored
+from tarn.llm import packing
 from tarn.llm.chat import CONTROL_STRINGS, escape, format_chat, read_back, unescape
+from tarn.llm.common import stored
 from tarn.llm.packing import END_ID, fit_counts, pack_documents, plan_sequences
 from tarn.llm.queries import HOSTILE_CONVERSATION, QUERIES, VOCABULARY
 from tarn.llm.tokens import vocabulary
@@ -213,6 +215,26 @@ def test_fit_finds_an_exact_solution():
     assert fit_counts(patterns, histogram) == pytest.approx(uses, rel=0.01)
 
 
+def test_lengths_of_many_pieces_are_ranked_in_more_parts(spark, monkeypatch):
+    """Half of all pieces have one length, and parts hold 20 pieces."""
+    monkeypatch.setattr(packing, "RANK_PARTS", 2)
+    monkeypatch.setattr(packing, "PART_PIECES", 20)
+    rng = random.Random(3)
+    rows = [(n // 2, n % 2, 0, 64 if n % 2 else rng.randint(1, 64), n) for n in range(2000)]
+    cut = stored(spark.createDataFrame(rows, packing.PIECE_SCHEMA))
+    packed = packing.pack_pieces(cut, 64).collect()
+    assert sorted(tuple(r)[:5] for r in packed) == sorted(rows)
+    sequences = {}
+    for r in packed:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 64
+
+
 def test_read_back_over_a_stored_table(spark):
     """The written turns lie in any order, a conversation's in many files."""
     turns = [(c, t, "assistant" if t % 2 else "user", f"[INST] {c} {t}") for c in range(9) for t in range(12)]
