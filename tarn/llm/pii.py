@@ -435,12 +435,12 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         .groupBy("value")
         .agg(F.count("*").alias("documents"))
     )
-    # A written table, so that a term of many documents can be split or broadcast.
+    # Written tables, so that a term of many documents can be split or broadcast.
     disclosing = stored(disclosing_terms(candidates, carriers, values, found.count()))
-    broader = stored(broader_terms(found, disclosing))
+    named = stored(disclosing.join(broader_terms(found, disclosing), "term", "left"))
     in_place = F.when(F.col("broader").isNotNull(), F.struct("term", "broader"))
     owned = stored(
-        carriers.join(disclosing.join(broader, "term", "left"), "term")
+        carriers.join(named, "term")
         .distinct()
         .groupBy(F.col("doc_id").alias("t_doc_id"), F.col("text_hash").alias("t_hash"))
         .agg(
