@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterable
 
 import numpy as np
 import xxhash
@@ -165,15 +164,3 @@ class FollowTheRegularizedLeader:
 
 def sigmoid(x: float) -> float:
     return float(1.0 / (1.0 + np.exp(-np.clip(x, -500, 500))))
-
-
-def train(
-    examples: Iterable[tuple[np.ndarray, np.ndarray, float]], epochs: int, bits: int = BITS
-) -> np.ndarray:
-    """Weights after ``epochs`` passes over ``(buckets, values, label)``."""
-    model = FollowTheRegularizedLeader(bits)
-    examples = list(examples)
-    for _ in range(epochs):
-        for buckets, values, label in examples:
-            model.learn(buckets, values, label)
-    return model.weights()
